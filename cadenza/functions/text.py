@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,12 @@ from pyspark.sql import functions as F
 SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
 WORD = r"[\p{L}\p{N}_]"
 
+# The same white space as a character list, for trimming without a pattern.
+SPACE_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+              0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
+
 # Known misspellings and their corrections.
 CORRECTIONS = {"palictaxel": "paclitaxel", "alfa": "alpha"}
 
@@ -23,9 +31,14 @@ NAME_REWRITES = [
 ]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
-    """Drop white space of any kind at both ends (``trim`` drops blanks only)."""
-    return F.regexp_replace(text, f"^{SPACE}+|{SPACE}+$", "")
+    """Drop white space of any kind at both ends (``trim`` alone drops blanks only)."""
+    return F.btrim(text, F.lit(SPACE_CHARS))
 
 
 def squeeze(text: Column) -> Column:
@@ -83,20 +96,21 @@ def blacklist_terms(entry: Column) -> Column:
     )
 
 
+def capital(text: Column) -> Column:
+    """First character upper-case, the rest as it is."""
+    return F.concat(F.upper(F.left(text, F.lit(1))), F.substring(text, 2, 2147483647))
+
+
 def drug_key(component: Column) -> Column:
     """Component name without blanks, lower-case with a capital first letter."""
-    name = F.lower(F.replace(strip(component), F.lit(" "), F.lit("")))
-    return F.concat(F.upper(F.left(name, F.lit(1))), F.substring(name, 2, 2147483647))
+    return capital(F.lower(F.replace(strip(component), F.lit(" "), F.lit(""))))
 
 
 def title_case(text: Column) -> Column:
     """Stripped, each run of letters with a capital first letter (``5-fu`` gives ``5-Fu``)."""
     cased = r"[\p{Lu}\p{Ll}\p{Lt}]"
     runs = F.split(F.lower(strip(text)), f"(?<!{cased})(?={cased})")
-    capital = F.transform(
-        runs, lambda run: F.concat(F.upper(F.left(run, F.lit(1))), F.substring(run, 2, 2147483647))
-    )
-    return F.array_join(capital, "")
+    return F.array_join(F.transform(runs, capital), "")
 
 
 def compare_key(short_string: Column) -> Column:
@@ -114,7 +128,10 @@ def normalise_new_name(name: Column) -> Column:
     out = F.lower(name)
     for mark in ("(tp)", "(kr)"):
         out = F.replace(out, F.lit(mark), F.lit(""))
-    name = _list_form(strip(out))
+    return let(_list_form(strip(out)), _rewrite)
+
+
+def _rewrite(name: Column) -> Column:
     # The conditions look at the name before any rewrite: no rewrite adds or removes the
     # words of another rule. An empty search text leaves the name as it is.
     out = name

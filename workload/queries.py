@@ -13,7 +13,8 @@ from workload import tables
 
 
 def schedule_strings(spark: SparkSession, folder: str) -> DataFrame:
-    return schedule.schedule_strings(schedule.expand_groups(tables.sched(spark, folder)))
+    rows = tables.sched(spark, folder).select(*schedule.GROUP, "condition", *schedule.DEDUPE)
+    return schedule.schedule_strings(schedule.expand_groups(rows))
 
 
 def short_strings(spark: SparkSession, folder: str) -> DataFrame:
