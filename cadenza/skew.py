@@ -11,8 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/SLICES of the rows, so there are fewer than
-# SLICES hot keys whatever the data: that is the size bound of the broadcast below.
+# Keys are counted by hash bucket, so what is counted has this many numbers whatever the data.
+BUCKETS = 4096
+# A bucket with more than 1/SLICES of the rows is hot and is cut into parts of that size.
 SLICES = 512
 
 
@@ -24,14 +25,29 @@ def same_keys(left: Sequence[Column], right: Sequence[Column], null_safe: bool)
     return condition
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> DataFrame:
-    """Keys with more than ``1/slices`` of the rows and the number of parts to cut each into."""
-    counts = df.groupBy(*[F.col(k).alias(f"_hot_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") * slices > total).select(
-        *[f"_hot_{k}" for k in keys],
-        F.ceil(F.col("_n") * slices / total).cast("int").alias("_parts"),
+def _bucket(keys: Sequence[Column]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
+
+
+def bucket_parts(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> Column:
+    """Scalar array: into how many parts to cut the rows of each key bucket.
+
+    One aggregation that combines map-side over the key columns only. The counts are exact,
+    so both sides of a join see the same array even if it is computed twice.
+    """
+    counted = df.select(_bucket([F.col(k) for k in keys]).alias("b"), F.lit(1).alias("n"))
+    every = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"), F.lit(0).alias("n"))
+    sizes = counted.groupBy("b").agg(F.sum("n").alias("n")).unionByName(every.withColumn("n", F.lit(0).cast("long")))
+    dense = sizes.groupBy("b").agg(F.sum("n").alias("n")).agg(
+        F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("b", "n"))).alias("sizes")
     )
+    return dense.select(
+        F.transform(
+            "sizes",
+            lambda e: F.when(e["n"] * slices > F.col("total"), F.ceil(e["n"] * slices / F.col("total")))
+            .otherwise(F.lit(1)).cast("int"),
+        )
+    ).scalar()
 
 
 def skew_join(
@@ -51,19 +67,18 @@ def skew_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join does inner and left joins, not {how}")
-    hot = F.broadcast(hot_keys(left, keys, slices))
-    hot_cols = [F.col(f"_hot_{k}") for k in keys]
-
+    for key in keys:
+        if left.schema[key].dataType != right.schema[key].dataType:
+            raise ValueError(f"key {key} has different types on the two sides")
+    parts = bucket_parts(left, keys, slices)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    cut_left = left.join(hot, same_keys([left[k] for k in keys], hot_cols, null_safe), "left").select(
-        *[left[f"`{c}`"] for c in left.columns],
-        F.coalesce(F.pmod(row_hash, F.col("_parts")), F.lit(0)).cast("int").alias("_part"),
+    cut_left = left.select(
+        "*", F.pmod(row_hash, F.get(parts, _bucket([F.col(k) for k in keys]))).cast("int").alias("_part")
     )
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     right_keys = [F.col(f"_right_{k}") for k in keys]
-    cut_right = renamed.join(hot, same_keys(right_keys, hot_cols, null_safe), "left").select(
-        *[F.col(f"`{c}`") for c in renamed.columns],
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_right_part"),
+    cut_right = renamed.select(
+        "*", F.explode(F.sequence(F.lit(0), F.get(parts, _bucket(right_keys)) - 1)).alias("_right_part")
     )
     condition = same_keys([F.col(k) for k in keys], right_keys, null_safe) & (
         F.col("_part") == F.col("_right_part")

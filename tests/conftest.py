@@ -18,6 +18,7 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.driver.memory": "6g",
             "spark.sql.autoBroadcastJoinThreshold": "10m",
+            "spark.ui.showConsoleProgress": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")
