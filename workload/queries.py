@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.functions.schedule import short_string
-from cadenza.operators import schedule, shape
+from cadenza.functions import text as T
+from cadenza.functions.schedule import cycle_parts, day_list, short_string
+from cadenza.lineage import durable
+from cadenza.operators import cleaning, edit, fuzzy, matching, merge, reference, schedule, shape, validate
 from workload import tables
 
 
@@ -52,12 +54,248 @@ def first_per_key(spark: SparkSession, folder: str) -> DataFrame:
     return shape.first_per_short_string(final_table(tables.sched(spark, folder)))
 
 
+def group_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    return schedule.group_metrics(tables.sched(spark, folder))
+
+
+def parse_cycle(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = tables.cycle_texts(spark, folder).withColumn("parts", cycle_parts(F.col("cycle_text")))
+    return parsed.select("p_partkey", "cycle_text", "parts.cycle_days", "parts.cycle_unit")
+
+
+def parse_days(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.concat(tables.day_text(), F.lit(" -"), F.col("l_quantity").cast("int").cast("string"))
+    rows = tables.table(spark, folder, "lineitem").select(
+        "l_orderkey", "l_partkey", F.when(F.col("l_linenumber") == 7, "None").otherwise(text).alias("day_text")
+    )
+    listed = rows.withColumn("listed", day_list(F.col("day_text")))
+    return listed.select(
+        "l_orderkey", "l_partkey", "day_text",
+        F.array_join(F.transform("listed", lambda d: d.cast("string")), "|").alias("day_numbers"),
+        F.array_min("listed").alias("first_day"), F.array_max("listed").alias("last_day"),
+    )
+
+
+def clean_terms(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.col("text")
+    forms = {"cleaned": T.clean_text(text), "vocabulary": T.clean_vocabulary(text), "index_key": T.index_key(text)}
+    return tables.table(spark, folder, "documents").select(
+        "doc_id", *[F.md5(form.cast("binary")).alias(name) for name, form in forms.items()]
+    )
+
+
+def split_units(spark: SparkSession, folder: str) -> DataFrame:
+    units = tables.table(spark, folder, "documents").select("doc_id", F.explode(T.split_units(F.col("text"))).alias("unit"))
+    return units.groupBy("doc_id", F.md5(F.col("unit").cast("binary")).alias("unit_key")).agg(
+        F.count(F.lit(1)).alias("occurrences"), F.max(F.length("unit")).alias("n_chars")
+    )
+
+
+def corrections(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.document_words(spark, folder).select(
+        "word",
+        T.correct(F.col("word"), {"the": "that", "of": "off", **T.CORRECTIONS}).alias("corrected"),
+        matching.is_skipped(F.col("word")).alias("skipped"),
+        T.is_number_unit(F.col("word")).alias("numeric"),
+    )
+
+
+def left_merge(spark: SparkSession, folder: str) -> DataFrame:
+    sigs = cleaning.clean_merge_side(tables.sigs(spark, folder)).distinct()
+    return merge.left_merge(sigs, cleaning.clean_merge_side(tables.indications(spark, folder)).distinct())
+
+
+def enrich_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    sigs = cleaning.clean_merge_side(tables.sigs(spark, folder))
+    return merge.enrich_unmatched(sigs, cleaning.clean_merge_side(tables.indications(spark, folder)))
+
+
+def merged_table(spark: SparkSession, folder: str) -> DataFrame:
+    terms = cleaning.blacklist_set(tables.blacklist(spark, folder))
+    return merge.merged_table(tables.sigs(spark, folder), tables.indications(spark, folder), terms)
+
+
+def blacklist_anti(spark: SparkSession, folder: str) -> DataFrame:
+    sigs = cleaning.clean_merge_side(tables.sigs(spark, folder)).select("component", "study", "regimen_cui")
+    return cleaning.drop_blacklisted(sigs, cleaning.blacklist_set(tables.blacklist(spark, folder)))
+
+
+def filled_columns(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cleaning.drop_matching_columns(tables.indications(spark, folder)).select("study", "condition", "context", "with")
+    filled = cleaning.fill_sentinel(cleaning.with_meta_condition(rows))
+    return filled.groupBy(*filled.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def word_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy.fuzzy_pairs(
+        tables.document_words(spark, folder), "word", tables.known_words(spark, folder), "component", 0.8
+    )
+
+
+def fuzzy_tfidf(spark: SparkSession, folder: str) -> DataFrame:
+    return word_pairs(spark, folder).select("word", "component", F.round("similarity", 6).alias("similarity"))
+
+
+def fuzzy_tfidf_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return fuzzy.score_queries(tables.document_words(spark, folder), "word", word_pairs(spark, folder))
+
+
+def word_fallback(spark: SparkSession, folder: str) -> DataFrame:
+    first = matching.word_matches(
+        tables.document_units(spark, folder), tables.vocabulary(spark, folder), "component", 0.8
+    )
+    return first.select(F.md5(F.col("unit").cast("binary")).alias("unit_key"), "word", "score")
+
+
+def contains_fanout(spark: SparkSession, folder: str) -> DataFrame:
+    values = tables.table(spark, folder, "documents").select(
+        F.col("doc_id").alias("value_key"), T.index_key(F.col("text")).alias("value")
+    )
+    units = tables.vocabulary(spark, folder).withColumnRenamed("component", "unit")
+    return matching.containing_values(units, values).select("unit", F.col("value_key").alias("doc_id"))
+
+
+def _extracted(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return matching.extract_matches(
+        tables.hidden(spark, folder), "doc_id", tables.vocabulary(spark, folder), "component"
+    )
+
+
+def extract_matches(spark: SparkSession, folder: str) -> DataFrame:
+    matches, _ = _extracted(spark, folder)
+    return matches.select(
+        "hvc_col", F.md5(F.col("unit").cast("binary")).alias("unit_key"), "term", F.col("row_id").alias("doc_id"), "occurrences"
+    )
+
+
+def match_audit(spark: SparkSession, folder: str) -> DataFrame:
+    _, audit = _extracted(spark, folder)
+    return audit.select("hvc_col", F.md5(F.col("unit").cast("binary")).alias("unit_key"), "status", "score", "repeats")
+
+
+def explode_matches(spark: SparkSession, folder: str) -> DataFrame:
+    rows = tables.hidden(spark, folder)
+    matches, _ = _extracted(spark, folder)
+    exploded = matching.explode_matches(rows, "doc_id", matches)
+    return exploded.select("doc_id", "component", "study", F.length("note").alias("n_chars"))
+
+
+def _part_words(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.table(spark, folder, "part").select(F.explode(T.split_words(F.col("p_name"))).alias("term")).distinct()
+
+
+def edit_distance_match(spark: SparkSession, folder: str) -> DataFrame:
+    texts = tables.table(spark, folder, "documents").select("doc_id", "text")
+    return edit.edit_distance_matches(texts, "text", _part_words(spark, folder), "term", keys=["doc_id"])
+
+
+def edit_distance_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    tokens = tables.table(spark, folder, "documents").select(
+        F.explode(edit.tokenize(F.lower("text"))).alias("token")
+    )
+    return edit.edit_distance_pairs(tokens, "token", _part_words(spark, folder), "term")
+
+
+def column_similarity(spark: SparkSession, folder: str) -> DataFrame:
+    part, customer, supplier = (tables.table(spark, folder, t) for t in ("part", "customer", "supplier"))
+    documents = tables.table(spark, folder, "documents")
+    columns = {
+        "p_name": (part, "p_name"), "p_brand": (part, "p_brand"), "p_type": (part, "p_type"),
+        "c_name": (customer, "c_name"), "c_mktsegment": (customer, "c_mktsegment"),
+        "s_name": (supplier, "s_name"), "text": (documents, "text"), "source": (documents, "source"),
+    }
+    return fuzzy.profile_similarity(columns, "c_name").withColumn("similarity", F.round("similarity", 6))
+
+
+def _groups(spark: SparkSession, folder: str) -> DataFrame:
+    names = tables.table(spark, folder, "part").select(F.concat("p_type", F.lit(" and "), "p_brand").alias("Var1"), "p_type", "p_size")
+    return names.groupBy("Var1").agg(F.min("p_size").alias("least"), F.min("p_type").alias("regGroup")).filter("least > 1").select("Var1", "regGroup")
+
+
+def ref_groups_completed(spark: SparkSession, folder: str) -> DataFrame:
+    final = tables.table(spark, folder, "part").select(F.concat("p_type", F.lit(" and "), "p_brand").alias("regName"))
+    return reference.complete_groups(final, _groups(spark, folder), seed=7)
+
+
+def valid_items_completed(spark: SparkSession, folder: str) -> DataFrame:
+    final = tables.table(spark, folder, "part").select(
+        F.concat("p_name", F.lit(" "), F.replace("p_brand", F.lit("Brand#"), F.lit("no-"))).alias("component")
+    )
+    known = tables.table(spark, folder, "supplier").join(
+        tables.table(spark, folder, "part"), F.col("s_suppkey") == F.col("p_partkey")
+    ).select(
+        F.initcap(F.concat("p_name", F.lit(" "), F.replace("p_brand", F.lit("Brand#"), F.lit("no-")))).alias("name"),
+        F.when(F.col("s_nationkey") == 0, "NA").otherwise((F.col("s_suppkey") + 35802000).cast("string")).alias("concept_id"),
+        F.col("s_suppkey").cast("string").alias("Manual"), F.col("s_name").alias("concept_me"),
+        F.when(F.col("s_nationkey") == 1, "1 / 2").otherwise((F.col("s_suppkey") + 1300000).cast("string")).alias("valid_concept_id"),
+        F.lit("Drug").alias("domain_id"), F.lit("Ingredient").alias("concept_class_id"), F.lit(None).cast("string").alias("Manual_Req"),
+    )
+    return reference.complete_items(final, known)
+
+
+def normalised_names(spark: SparkSession, folder: str) -> DataFrame:
+    name = F.col("regName")
+    return tables.regimen_names(spark, folder).select(
+        "p_partkey", "regName", T.normalise_new_name(name).alias("new_form"), T.normalise_old_name(name).alias("old_form")
+    )
+
+
+def _checked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    merged = tables.check_rows(spark, folder, True)
+    # Both result tables are used several times: written once.
+    new = durable(final_table(merged))
+    return new, durable(final_table(tables.check_rows(spark, folder, False))), merged
+
+
+def shared_names(spark: SparkSession, folder: str) -> DataFrame:
+    new, old, _ = _checked(spark, folder)
+    return validate.shared_names(new, old)
+
+
+def shared_rows(spark: SparkSession, folder: str) -> DataFrame:
+    new, old, merged = _checked(spark, folder)
+    kept = validate.shared_rows(merged, validate.shared_names(new, old))
+    return kept.groupBy("regimen").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def match_status(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.match_status(*_checked(spark, folder))
+
+
+def match_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.match_summary(match_status(spark, folder))
+
+
+def exact_counters(spark: SparkSession, folder: str) -> DataFrame:
+    new, old, _ = _checked(spark, folder)
+    return validate.exact_counters(new, old)
+
+
+def report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.sort_report(validate.report_lines(*_checked(spark, folder)))
+
+
+def expectations(spark: SparkSession, folder: str) -> DataFrame:
+    rows = cleaning.expect_columns(tables.sched(spark, folder), ["component", "condition"])
+    return cleaning.expectations(rows, {
+        "hot_gear_present": cleaning.present("component", "hot gear"),
+        "thalidomide_present": cleaning.present("component", "thalidomide"),
+        "bisophonate_absent": cleaning.absent("component", "bisophonate"),
+        "hot_gear_absent": cleaning.absent("component", "hot gear"),
+        "not_empty": cleaning.not_empty(),
+        "condition_everywhere": F.count("condition") == F.count(F.lit(1)),
+    })
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "schedule_strings": schedule_strings,
-    "short_strings": short_strings,
-    "condition_imputation": condition_imputation,
-    "expanded_groups": expanded_groups,
-    "schedule_cross": schedule_cross,
-    "full_sorted": full_sorted,
-    "first_per_key": first_per_key,
+    f.__name__: f
+    for f in (
+        schedule_strings, short_strings, condition_imputation, expanded_groups, schedule_cross, group_metrics,
+        parse_cycle, parse_days, clean_terms, split_units, corrections, left_merge, enrich_fallback,
+        merged_table, blacklist_anti, filled_columns, fuzzy_tfidf, fuzzy_tfidf_scores, word_fallback,
+        contains_fanout, extract_matches, match_audit, explode_matches, edit_distance_match,
+        edit_distance_pairs, column_similarity, full_sorted, first_per_key, ref_groups_completed,
+        valid_items_completed, normalised_names, shared_names, shared_rows, match_status, match_summary,
+        exact_counters, report_lines, expectations,
+    )
 }

@@ -79,3 +79,96 @@ def indications(spark: SparkSession, folder: str) -> DataFrame:
         F.col("p_type").alias("with"),
         F.col("o_orderdate").cast("date").cast("string").alias("date_added_ind"),
     )
+
+
+def cycle_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Cycle expressions of every form, from part sizes."""
+    size = F.col("p_size").cast("string")
+    return table(spark, folder, "part").select(
+        "p_partkey",
+        F.when(F.col("p_type") == "ECONOMY", F.concat(size, F.lit("-day cycle")))
+        .when(F.col("p_type") == "SMALL", F.concat(size, F.lit("- to "), (F.col("p_size") + 7).cast("string"), F.lit("-day Cycle")))
+        .when(F.col("p_type") == "MEDIUM", F.concat(size, F.lit("-week schedule")))
+        .when(F.col("p_type") == "PROMO", F.concat(F.lit(" "), size, F.lit(" months ")))
+        .when(F.col("p_type") == "LARGE", F.concat(F.lit("for "), size, F.lit("years course")))
+        .otherwise(F.concat(F.lit("Full cycle "), F.col("p_type"))).alias("cycle_text"),
+    )
+
+
+def blacklist(spark: SparkSession, folder: str) -> DataFrame:
+    """Blacklist entries with a second name in brackets."""
+    return table(spark, folder, "part").select(
+        F.concat(F.initcap("p_name"), F.lit(" "), F.replace("p_brand", F.lit("#"), F.lit("")), F.lit(" "),
+                 F.col("p_size").cast("string"), F.lit(" ("), F.col("p_type"), F.lit(")")).alias("entry")
+    )
+
+
+def vocabulary(spark: SparkSession, folder: str) -> DataFrame:
+    """Known terms: the units of the benchmark texts."""
+    from cadenza.functions.text import split_units
+
+    return table(spark, folder, "benchmark").select(F.explode(split_units(F.col("text"))).alias("component")).distinct()
+
+
+def known_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Known terms: the words of the benchmark texts."""
+    from cadenza.functions.text import split_words
+
+    return table(spark, folder, "benchmark").select(F.explode(split_words(F.lower("text"))).alias("component")).distinct()
+
+
+def document_words(spark: SparkSession, folder: str) -> DataFrame:
+    from cadenza.functions.text import split_words
+
+    return table(spark, folder, "documents").select(F.explode(split_words(F.lower("text"))).alias("word")).distinct()
+
+
+def document_units(spark: SparkSession, folder: str) -> DataFrame:
+    from cadenza.functions.text import split_units
+
+    return table(spark, folder, "documents").select(F.explode(split_units(F.col("text"))).alias("unit")).distinct()
+
+
+def hidden(spark: SparkSession, folder: str) -> DataFrame:
+    """A table with terms hidden in its text columns."""
+    return table(spark, folder, "documents").select(
+        "doc_id", F.col("lang").alias("component"), F.col("source").alias("study"), F.col("text").alias("note"),
+        F.concat(F.col("lang"), F.lit(" or "), F.col("source")).alias("origin"),
+    )
+
+
+def regimen_names(spark: SparkSession, folder: str) -> DataFrame:
+    """Names that touch each normalisation rule."""
+    head = (
+        F.when(F.col("p_type") == "ECONOMY", "Bortezomib, Thalidomide, Dexamethasone, ")
+        .when(F.col("p_type") == "SMALL", "Melphalan flufenamide , Dexamethasone and ")
+        .when(F.col("p_type") == "MEDIUM", "Tegafur & Uracil, Folinic acid, ")
+        .when(F.col("p_type") == "PROMO", "VMP, then Rd (TP) and ")
+        .when(F.col("p_type") == "LARGE", "VMP/Rd  (KR), ")
+    )
+    own = F.when(F.col("p_size") > 5, F.concat(F.lit(" "), "p_name", F.lit(" and "), "p_brand")).otherwise("")
+    return table(spark, folder, "part").select(
+        "p_partkey", F.coalesce(F.concat(head, own), F.when(F.col("p_size") > 25, F.lit("Carfilzomib")).otherwise(own)).alias("regName")
+    )
+
+
+def check_rows(spark: SparkSession, folder: str, newer: bool) -> DataFrame:
+    """Merged rows of the newer or the older orders; the older ones write names differently."""
+    name = (
+        F.concat("p_name", F.lit(" and "), "p_brand", F.lit(", "), F.col("l_quantity").cast("int").cast("string"))
+        if newer
+        else F.concat(F.upper("p_name"), F.lit(" & "), "p_brand", F.lit(" , "), F.col("l_quantity").cast("int").cast("string"))
+    )
+    half = F.col("o_orderdate") >= F.lit("1998-07-01").cast("timestamp")
+    return lines(spark, folder).filter(half if newer else ~half).select(
+        (F.col("l_partkey") * 100 + F.col("l_quantity").cast("long")).cast("string").alias("regimen_cui"),
+        F.col("l_returnflag").alias("variant"),
+        F.col("p_name").alias("component"),
+        F.col("l_linenumber").cast("string").alias("allDays"),
+        F.when(F.col("l_linestatus") == "O", "28-day cycle").otherwise("3-week schedule").alias("cyclesigs"),
+        F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("condition"),
+        F.col("o_orderstatus").alias("context"),
+        F.nullif(F.col("p_type"), F.lit("SMALL")).alias("with"),
+        name.alias("regimen"),
+        F.lit("all").alias("metaCondition"),
+    )
