@@ -526,12 +526,12 @@ ORACLES |= {
     "edit_distance_match": """with tokens as (
           select distinct doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+(?:[''’.\\-+/][\\p{L}\\p{N}_]+)*|[^\\p{L}\\p{N}_\\s\\p{Z}]')) as token from documents
         ), terms as (select distinct unnest(string_split(p_name, ' ')) as term from part),
-        hits as (select token, term from (select distinct token from tokens), terms where levenshtein(token, term) <= 2)
+        hits as (select token, term from (select distinct token from tokens), terms where levenshtein(regexp_replace(token, '[^ -~]', '~', 'g'), term) <= 2)
         select distinct doc_id, term from tokens join hits using (token)""",
     "edit_distance_pairs": """with tokens as (
           select distinct unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+(?:[''’.\\-+/][\\p{L}\\p{N}_]+)*|[^\\p{L}\\p{N}_\\s\\p{Z}]')) as token from documents
         ), terms as (select distinct unnest(string_split(p_name, ' ')) as term from part)
-        select token, term, levenshtein(token, term) as distance from tokens, terms where levenshtein(token, term) <= 2""",
+        select token, term, levenshtein(regexp_replace(token, '[^ -~]', '~', 'g'), term) as distance from tokens, terms where levenshtein(regexp_replace(token, '[^ -~]', '~', 'g'), term) <= 2""",
     "column_similarity": f"""with texts as ({COLUMN_TEXTS}),
         grams as (
           select col, gram, count(*)::double as tf from (
