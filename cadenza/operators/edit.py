@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import SPACE, let
 from cadenza.lineage import durable
-from cadenza.skew import skew_join
+from cadenza.skew import skew_join, spread
 
 # Words, numbers and single marks of a text.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.\-+/][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s\p{Z}]"
@@ -70,7 +70,7 @@ def _probes(token: Column, distance: int) -> Column:
 
 def edit_distance_pairs(tokens: DataFrame, token: str, terms: DataFrame, term: str, max_distance: int = 2) -> DataFrame:
     """``(token, term, distance)`` of distinct tokens and terms within the distance."""
-    left = tokens.select(F.col(token).alias("token")).filter(F.col("token").isNotNull()).distinct()
+    left = spread(durable(tokens.select(F.col(token).alias("token")).filter(F.col("token").isNotNull()).distinct()), "token")
     right = terms.select(F.col(term).alias("term")).filter(F.col("term").isNotNull()).distinct()
     probes = left.select("token", F.explode(let(F.col("token"), lambda t: _probes(t, max_distance))).alias("p")).select(
         "token", "p.n", "p.number", "p.piece"
@@ -102,7 +102,7 @@ def edit_distance_matches(
     keys = keys or [text]
     fold = F.lower if lowercase else (lambda c: c)
     rows = texts.filter(F.regexp_replace(F.col(text), f"{SPACE}+", "") != "")
-    found = rows.select(*keys, F.explode(F.array_distinct(tokenize(fold(F.col(text))))).alias("token"))
+    found = durable(rows.select(*keys, F.explode(F.array_distinct(tokenize(fold(F.col(text))))).alias("token")))
     if lemmas is not None:
         known = lemmas.select("token", "lemma").dropDuplicates(["token"])
         found = skew_join(found, known, ["token"], "left").select(*keys, F.coalesce("lemma", "token").alias("token"))

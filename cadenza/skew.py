@@ -90,6 +90,16 @@ def skew_join(
     )
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-partitioned by key into as many parts as the cluster works on at once.
+
+    Short texts are few bytes but much work, so partition sizes must not decide alone.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return df.repartition(parts, key)
+
+
 # 3 hex digits of an md5: 4,096 buckets, the most rows the window over bucket sizes sees per group.
 BUCKET_DIGITS = 3
 
