@@ -1,0 +1,107 @@
+import json
+import os
+import tempfile
+
+import pytest
+
+from cadenza.operators import cleaning, reference
+from cadenza.plans import full_run
+from cadenza.sources import files, sinks
+
+
+@pytest.fixture
+def folder():
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def put(folder, name, text, encoding="utf-8"):
+    path = os.path.join(folder, name)
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding=encoding) as f:
+        f.write(text)
+    return path
+
+
+def test_delimited_and_encodings(spark, folder):
+    utf = put(folder, "a.csv", "name,n\né,1\n,2\n")
+    latin = put(folder, "b.csv", "name,n\né,1\n", "latin-1")
+    assert [tuple(r) for r in files.read_csv(spark, utf, schema="name string, n int").collect()] == [("é", 1), (None, 2)]
+    assert files.read_csv(spark, utf, infer=True).dtypes == [("name", "string"), ("n", "int")]
+    assert files.read_latin_csv(spark, latin).first().name == "é"
+    assert files.load_encoded(spark, utf).first().name == "é"
+    assert files.load_encoded(spark, latin).first().name == "é"
+    assert files.load_encoded(spark, folder + "/none.csv") is None
+
+
+def test_folder(spark, folder):
+    put(folder, "x/a.csv", "k\n1\n")
+    put(folder, "y/b.tsv", "k\tl\n1\t2,3\n")
+    put(folder, "y/a.tsv", "k\n9\n")
+    tables = files.load_folder(spark, folder, register=True)
+    assert sorted(tables) == ["a", "b"]
+    assert tables["a"].first().k == "1" and spark.table("b").first().l == "2,3"
+
+
+def test_ragged(spark, folder):
+    path = put(folder, "r.tsv", "\t".join(reference.ITEM_COLUMNS) + "\nA\t1\t\ta\t2\tDrug\tIngredient\t\nB\t1\t2\t3\t4\t5\t6\t7\t8\t9\n")
+    rows = [tuple(r) for r in files.read_ragged(spark, path).collect()]
+    assert rows == [("A", "1", None, "a", "2", "Drug", "Ingredient", None), ("B", "1", "2", "3", "4", "5", "6", "7")]
+
+
+def test_round_trip(spark, folder):
+    frame = spark.createDataFrame([("a\"b", None), ("c,d", "é")], "x string, y string")
+    sinks.write_tsv(frame, folder + "/t.tsv")
+    assert sorted(map(tuple, files.read_tsv(spark, folder + "/t.tsv").collect())) == [("a\"b", None), ("c,d", "é")]
+
+
+def test_blacklist_and_checks(spark, folder):
+    path = put(folder, "s.json", json.dumps({"meta": {"source": "x"}, "custom": ["Steroid"], "more": ["Clarithromycin (Biaxin)", "A-b (C)"]}))
+    entries = files.read_term_lists(spark, path)
+    terms = cleaning.blacklist_set(entries)
+    assert {r.term for r in terms.collect()} == {"steroid", "clarithromycin", "biaxin", "a-b", "c"}
+    assert "ab" in {r.term for r in cleaning.blacklist_set(entries, strict=True).collect()}
+    rows = spark.createDataFrame([("Biaxin",), ("x",), (None,)], "component string")
+    assert [r.component for r in cleaning.drop_blacklisted(rows, terms).collect()] == ["x"]
+    with pytest.raises(ValueError, match="thalidomide"):
+        full_run.require(cleaning.merge_expectations(rows))
+    with pytest.raises(ValueError, match="study"):
+        cleaning.expect_columns(rows, ["study"])
+
+
+def test_full_run(spark, folder):
+    put(folder, "in/sigs.csv", "\n".join([
+        "component,study,regimen_cui,variant,allDays,cyclesigs,regimen,date_added_x",
+        "Thalidomide,s1,1,v1,\"1,8\",21-day cycle,Thal and Dex,2020",
+        "Paclitaxel,s1,1,v1,1,21-day cycle,Thal and Dex,2020",
+        "Biaxin,s1,1,v1,1,21-day cycle,Thal and Dex,2020",
+        "Newdrug,,2,v1,1,Full cycle,Other,2020",
+        "Cisplatin,s9,3,v1,1,3-week schedule,Third,2020",
+    ]) + "\n")
+    put(folder, "in/indications.csv", "\n".join([
+        "component,study,condition,context,with,regimen_cui,variant,allDays,date_added_y",
+        "thalidomide,S1,Myeloma,ctx,palictaxel and surgery,1,v1,\"1,8\",2020",
+        "newdrug,,Lung é,ctx,,2,v1,1,2020",
+        "cisplatin,other,Ovary,ctx,,3,v1,1,2020",
+    ]) + "\n", "latin-1")
+    bl = put(folder, "bl.json", json.dumps({"custom": ["Clarithromycin (Biaxin)"]}))
+    groups = put(folder, "g.tsv", "Var1\tregGroup\nThal and Dex\tChemo\n")
+    items = put(folder, "v.tsv", "\t".join(reference.ITEM_COLUMNS) + "\nThalidomide\t100\t100\tt\t200\tDrug\tIngredient\t\n")
+    old = put(folder, "old.tsv", "regName\tregString\tshortString\nThal & Dex\tx\t14.Paclitaxel;0.Thalidomide;7.Thalidomide;\nOther\ty\t9.other;\n")
+    out = folder + "/out"
+    final = full_run.run_all(spark, folder + "/in", out, bl, groups, items, old)
+    got = {(r.regName, r.condition, r.component, r.shortString) for r in final.collect()}
+    text = "14.paclitaxel;0.thalidomide;7.thalidomide;"
+    assert got == {
+        # The paclitaxel row has no condition of its own in study s1 but for the term found in `with`.
+        ("Thal and Dex", "Myeloma", "thalidomide", text), ("Thal and Dex", "Myeloma", "paclitaxel", text),
+        ("Other", "Lung é", "newdrug", "1.newdrug;1.newdrug;"),
+        # Enriched: the study differs, regimen, variant and days agree.
+        ("Third", "Ovary", "cisplatin", "21.cisplatin;21.cisplatin;"),
+    }
+    assert files.read_tsv(spark, out + "/regimens.tsv").count() == 3
+    assert {r.Var1 for r in files.read_tsv(spark, out + "/regimengroups.tsv").collect()} == {"Thal and Dex", "Other", "Third"}
+    drugs = {r.name: r.concept_id for r in files.read_tsv(spark, out + "/validdrugs.tsv").collect()}
+    assert drugs.keys() == {"Thalidomide", "Newdrug", "Cisplatin", "Paclitaxel"}
+    assert sorted(drugs.values()) == ["100", "101", "102", "103"]
+    report = [r.value for r in spark.read.text(out + "/validation/shared_output_analysis.txt").collect()]
+    assert "✅ Correct: 1" in report and "❌ Failed: 1" in report and "=== Regimen: Other ===" in report
