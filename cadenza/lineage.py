@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +24,10 @@ def checkpoint_folder(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The frame written to the checkpoint folder and read from there: computed once, however
-    often it is used afterwards, and not again after an executor loss."""
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    """The frame written as a table to the checkpoint folder and read from there: computed once,
+    however often it is used afterwards, and not again after an executor loss. Readers take only
+    the columns they need."""
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.text import SPACE, let
+from cadenza.functions.text import SPACE
 from cadenza.lineage import durable
 from cadenza.skew import skew_join, spread
 
@@ -47,7 +47,7 @@ def _segments(term: Column, parts: int) -> Column:
 
 
 def _probes(token: Column, distance: int) -> Column:
-    """Lookups of a token: substrings that a segment of a term of length ``n`` can be.
+    """Lookups of a token, null where there is none: substrings that a segment of a term of length ``n`` can be.
 
     With d = |token| - n, segment i (from 0) may start at most i places to either side of its own
     start, and at most distance - i places to either side of its start shifted by d.
@@ -65,16 +65,16 @@ def _probes(token: Column, distance: int) -> Column:
                     n.alias("n"), F.lit(i).alias("number"),
                     F.substring(token, start + 1, size).alias("piece"),
                 )))
-    return F.array_distinct(F.filter(F.array(*out), lambda p: p.isNotNull()))
+    return F.array(*out)
 
 
 def edit_distance_pairs(tokens: DataFrame, token: str, terms: DataFrame, term: str, max_distance: int = 2) -> DataFrame:
     """``(token, term, distance)`` of distinct tokens and terms within the distance."""
     left = spread(durable(tokens.select(F.col(token).alias("token")).filter(F.col("token").isNotNull()).distinct()), "token")
     right = terms.select(F.col(term).alias("term")).filter(F.col("term").isNotNull()).distinct()
-    probes = left.select("token", F.explode(let(F.col("token"), lambda t: _probes(t, max_distance))).alias("p")).select(
-        "token", "p.n", "p.number", "p.piece"
-    )
+    probes = left.select("token", F.explode(_probes(F.col("token"), max_distance)).alias("p")).filter(
+        F.col("p").isNotNull()
+    ).select("token", "p.n", "p.number", "p.piece")
     index = right.select("term", F.explode(_segments(F.col("term"), max_distance + 1)).alias("s")).select(
         "term", "s.n", "s.number", "s.piece"
     )
