@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import langid
+from cadenza.llm import bpe, langid
 from cadenza.llm.common import id_remainder, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,15 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
+@query
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded, then decoded from its ids."""
+    vocabulary = bpe.Vocabulary.load(
+        public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    )
+    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary).drop("ids")
+
+
 @query
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the four fifths that are not held out."""
