@@ -3,3 +3,40 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {}
+
+# Words as the operators take them: A-Z lower-cased, split at ASCII white space, per row.
+WORDS = """
+words AS (
+    SELECT doc_id, list_filter(
+        string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS w
+    FROM documents
+)"""
+
+ORACLES["op2_ngram_join"] = f"""
+WITH RECURSIVE {WORDS},
+shingles AS (
+    SELECT doc_id, unnest(list_distinct(
+        CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)) AS s
+    FROM words
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+),
+links AS (
+    SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * common >= 90 * (x.n + y.n - common)
+),
+edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+    SELECT doc_id AS id, doc_id AS other FROM documents
+    UNION
+    SELECT reach.id, edges.b FROM reach JOIN edges ON reach.other = edges.a
+)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id
+"""

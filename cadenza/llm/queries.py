@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, langid
+from cadenza.llm import bpe, langid, ngram_join
 from cadenza.llm.common import id_remainder, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
+@query
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles have Jaccard 0.9 or more."""
+    return ngram_join.join(table(spark, sf_dir, "documents"), ngram_join.Similarity(3, 90, 100))
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, then decoded from its ids."""

@@ -85,3 +85,14 @@ def shingle_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         out = mix(out * BASE + words[i : len(words) - n + 1 + i])
     return out
+
+
+def shingle_sets(texts: Sequence[str], n: int) -> list[np.ndarray]:
+    """Per text the sorted distinct hashes of its runs of ``n`` words; none without words."""
+    words, firsts = hash_words(texts)
+    runs = shingle_hashes(words, n) if len(words) >= n else words[:0]
+    out = []
+    for begin, end in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True):
+        own = runs[begin : end - n + 1] if end - begin >= n else shingle_hashes(words[begin:end], n)
+        out.append(np.unique(own))
+    return out
