@@ -155,8 +155,9 @@ def training_windows(labelled: DataFrame, key: str, text: str, lang: str, per_la
     place = F.pmod(F.xxhash64("key", F.lit("place")), F.greatest(F.length("text") - WINDOW // 2, F.lit(1)))
     return (
         rows.filter(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30))
+        .select("key", F.substring("text", place.cast("int") + 1, F.lit(WINDOW)).alias("text"), "lang")
         .orderBy(h, "key", "text").limit(2 * per_language * max(1, len(counts)))
-        .select(F.substring("text", place.cast("int") + 1, F.lit(WINDOW)).alias("text"), "lang")
+        .select("text", "lang")
     )
 
 

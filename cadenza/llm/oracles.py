@@ -40,3 +40,24 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.component_id
 FROM documents d LEFT JOIN sizes s USING (doc_id)
 JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON r.id = d.doc_id
 """
+
+# Distinct runs of five words per row of a table.
+FIVES = """
+{name} AS (
+    SELECT {key}, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+    FROM (SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM {table})
+)"""
+
+ORACLES["op5_decontamination"] = f"""
+WITH {FIVES.format(name='docs', key='doc_id', table='documents')},
+{FIVES.format(name='items', key='item_id', table='benchmark')},
+shared AS (
+    SELECT doc_id, item_id, count(*) AS n_shared
+    FROM (SELECT doc_id, unnest(s) AS s FROM docs) d JOIN (SELECT item_id, unnest(s) AS s FROM items) i USING (s)
+    GROUP BY ALL
+)
+SELECT doc_id, item_id, len(s) AS n_item, n_shared, n_shared / len(s) AS containment
+FROM shared JOIN items USING (item_id)
+WHERE 10 * n_shared >= 8 * len(s)
+"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, langid, ngram_join
+from cadenza.llm import bpe, decontaminate, langid, ngram_join
 from cadenza.llm.common import id_remainder, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), ngram_join.Similarity(3, 90, 100))
 
 
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 80 % or more of the five-word shingles of a benchmark item."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded, then decoded from its ids."""
