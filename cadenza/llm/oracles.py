@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cadenza.llm.secret_scan import BASE, MORE
+
 ORACLES: dict[str, str] = {}
 
 # Words as the operators take them: A-Z lower-cased, split at ASCII white space, per row.
@@ -61,3 +63,27 @@ SELECT doc_id, item_id, len(s) AS n_item, n_shared, n_shared / len(s) AS contain
 FROM shared JOIN items USING (item_id)
 WHERE 10 * n_shared >= 8 * len(s)
 """
+
+
+def _secret_spans(number: int, rule) -> str:
+    """Spans of a rule per row: the lengths of what lies between matches and of the matches, added up."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind,
+        unnest(list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))) AS s,
+        unnest(list_transform(m, lambda x: length(x))) AS n, unnest(list_transform(g, lambda x: length(x))) AS judged, {rule.least} AS least
+    FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m, regexp_extract_all(text, '{pattern}', {rule.group}) AS g,
+          string_split_regex(text, '{pattern}') AS b FROM documents)"""
+
+
+ORACLES["op3_secret_scan"] = f"""
+WITH every AS ({" UNION ALL ".join(_secret_spans(i, r) for i, r in enumerate(BASE + MORE))}),
+spans AS (
+    SELECT doc_id, rule, kind, s, concat_ws(':', kind, CAST(s AS BIGINT), CAST(s + n AS BIGINT)) AS span FROM every WHERE judged >= least
+)
+SELECT d.doc_id,
+    count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+    sha256(coalesce(string_agg(span, ',' ORDER BY s, rule) FILTER (rule < 3), '')) AS base_sha256,
+    coalesce(string_agg(span, ',' ORDER BY s, rule), '') AS spans
+FROM documents d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id
+"""

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, langid, ngram_join
+from cadenza.llm import bpe, decontaminate, langid, ngram_join, secret_scan
 from cadenza.llm.common import id_remainder, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,22 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"), ngram_join.Similarity(3, 90, 100))
 
 
+@query
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: numbers of the base kinds, a digest of their spans, and all spans."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("found", lambda s: s["rule"] < len(secret_scan.BASE))
+
+    def count(number: int, kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["rule"] == number)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(i, r.kind) for i, r in enumerate(secret_scan.BASE)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secret_scan.listed(base).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("found")).alias("spans"),
+    )
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 80 % or more of the five-word shingles of a benchmark item."""
