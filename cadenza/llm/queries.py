@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, langid, ngram_join, secret_scan
+from cadenza.llm import bpe, decontaminate, langid, ngram_join, secret_scan, topk
 from cadenza.llm.common import id_remainder, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,12 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every fiftieth embedding by integer inner product."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 @query
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 80 % or more of the five-word shingles of a benchmark item."""
