@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, langid, ngram_join, secret_scan, topk
-from cadenza.llm.common import id_remainder, importable, table
+from cadenza.llm import bpe, decontaminate, langid, ngram_join, rans, secret_scan, topk
+from cadenza.llm.common import id_remainder, importable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -76,3 +77,12 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     net = langid.fit(docs.filter(~F.col("held_out")))
     return langid.identify(docs, net, keep=("doc_id", "held_out"))
+
+
+@query
+def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents written as token files and read back from them."""
+    path = f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}"
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        rans.write(table(spark, sf_dir, "documents"), path, file.read(), 1)
+    return rans.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
