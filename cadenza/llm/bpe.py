@@ -8,14 +8,15 @@ the leftmost of equals, until no pair is in the vocabulary.
 from __future__ import annotations
 
 import base64
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
 import regex
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,9 +24,9 @@ from cadenza.llm.common import plain, text_slices
 from cadenza.llm.words import U, mix
 
 STEP = U(0x9E3779B97F4A7C15)
-# Pre-tokens and characters of them that a task remembers; beyond it starts anew, which costs time only.
-REMEMBERED = 300_000
-REMEMBERED_CHARS = 8_000_000
+# Pre-tokens a worker process remembers; later and longer ones are looked up anew, which costs time only.
+REMEMBERED = 400_000
+LONGEST_REMEMBERED = 64
 
 
 def _hashes(keys: list[bytes]) -> np.ndarray:
@@ -89,34 +90,37 @@ def merge_bytes(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of a pre-token by merging bytes. A heap entry holds the bytes a pair covers, so it is
     out of date exactly when no pair covers them any more."""
     n = len(piece)
-    ends = list(range(1, n + 1))  # of the part that starts here
+    ends = list(range(1, n + 1))  # of the part that starts here, 0 if none does
     before = list(range(-1, n - 1))
-    alive = bytearray(b"\1" * n)
+    get = ranks.get
+    # Rank, begin and end in one number.
+    bits = n.bit_length()
+    mask = (1 << bits) - 1
     heap = []
     for i in range(n - 1):
-        rank = ranks.get(piece[i : i + 2])
+        rank = get(piece[i : i + 2])
         if rank is not None:
-            heap.append((rank, i, i + 2))
-    heapq.heapify(heap)
+            heap.append(((rank << bits | i) << bits) | (i + 2))
+    heapify(heap)
     while heap:
-        _, left, end = heapq.heappop(heap)
-        if not alive[left]:
-            continue
+        entry = heappop(heap)
+        end = entry & mask
+        left = (entry >> bits) & mask
         right = ends[left]
-        if right >= n or ends[right] != end:
+        if not right or right >= end or ends[right] != end:
             continue
-        alive[right] = 0
+        ends[right] = 0
         ends[left] = end
         if end < n:
             before[end] = left
-            rank = ranks.get(piece[left : ends[end]])
+            rank = get(piece[left : ends[end]])
             if rank is not None:
-                heapq.heappush(heap, (rank, left, ends[end]))
+                heappush(heap, ((rank << bits | left) << bits) | ends[end])
         if left:
             previous = before[left]
-            rank = ranks.get(piece[previous:end])
+            rank = get(piece[previous:end])
             if rank is not None:
-                heapq.heappush(heap, (rank, previous, end))
+                heappush(heap, ((rank << bits | previous) << bits) | end)
     out, at = [], 0
     while at < n:
         out.append(ranks[piece[at : ends[at]]])
@@ -152,54 +156,67 @@ class Vocabulary:
 
 
 class Encoder:
-    """Encodes texts with a vocabulary; remembers a bounded number of pre-tokens."""
+    """Encodes texts with a vocabulary; remembers the first ``REMEMBERED`` pre-tokens it meets."""
 
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
         self.split = regex.compile(vocabulary.pattern).findall
         self.ranks = {t: i for i, t in vocabulary.tokens.items()}
-        self.forget()
-
-    def forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.chars = 0
-        self.flat = np.zeros(1 << 16, dtype=np.int32)
-        self.starts = np.zeros(1, dtype=np.int64)
+        self.flat = np.zeros(1 << 20, dtype=np.int32)
+        self.starts = np.zeros(REMEMBERED + 1, dtype=np.int64)
 
-    def learn(self, pieces: list[str]) -> None:
-        """Find the ids of new pre-tokens: one probe each, then merging for those that are no token."""
+    def ids_of(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens: one probe each, then merging for those that are no token."""
         encoded = [p.encode("utf-8", "surrogatepass") for p in pieces]
         found = self.vocabulary.slot_ids[self.vocabulary.table.slots(_hashes(encoded))].tolist()
         tokens = self.vocabulary.tokens
-        ids = [[i] if tokens[i] == e else merge_bytes(e, self.ranks) for i, e in zip(found, encoded, strict=True)]
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        begin = self.starts[-1]
-        self.starts = np.concatenate([self.starts, begin + np.cumsum(lengths)])
-        while len(self.flat) < self.starts[-1]:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[begin : self.starts[-1]] = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
-        for p in pieces:
-            self.known[p] = len(self.known)
+        return [[i] if tokens[i] == e else merge_bytes(e, self.ranks) for i, e in zip(found, encoded, strict=True)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         pieces = [self.split(t) for t in texts]
-        new = {p for piece in pieces for p in piece if p not in self.known}
-        self.learn(sorted(new))
         known = self.known
+        new = sorted({p for piece in pieces for p in piece if p not in known}, key=len)
+        # New pre-tokens lie behind the remembered ones; what does not fit is forgotten after these texts.
+        ids = self.ids_of(new)
+        first, begin = len(known), int(self.starts[len(known)])
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        more = np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(lengths.sum()))
+        flat = np.concatenate([self.flat[:begin], more])
+        starts = np.concatenate([self.starts[: first + 1], begin + np.cumsum(lengths)])
+        known.update(zip(new, range(first, first + len(new))))
         out = []
         for piece in pieces:
             index = np.fromiter(map(known.__getitem__, piece), dtype=np.int64, count=len(piece))
-            starts = self.starts[index]
-            lengths = self.starts[index + 1] - starts
-            shift = starts - (np.cumsum(lengths) - lengths)
-            out.append(self.flat[np.repeat(shift, lengths) + np.arange(int(lengths.sum()))])
-        self.chars += sum(map(len, new))
-        if len(known) > REMEMBERED or self.chars > REMEMBERED_CHARS:
-            self.forget()
+            begins = starts[index]
+            lengths = starts[index + 1] - begins
+            out.append(flat[np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(int(lengths.sum()))])
+        kept = 0
+        for p in new:
+            if first + kept >= REMEMBERED or len(p) > LONGEST_REMEMBERED:
+                break
+            kept += 1
+        for p in new[kept:]:
+            del known[p]
+        self.starts[: first + kept + 1] = starts[: first + kept + 1]
+        end = int(starts[first + kept])
+        if end > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(end, dtype=np.int32)])
+        self.flat[begin:end] = flat[begin:end]
         return out
 
 
+_worker: list[Encoder] = []
+
+
+def worker_encoder(shared: Broadcast) -> Encoder:
+    """The encoder of this worker process, which keeps what it remembers from task to task."""
+    if not _worker or _worker[0].vocabulary is not shared.value:
+        _worker[:] = [Encoder(shared.value)]
+    return _worker[0]
+
+
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
     """``keep`` columns and the token ids of every row's whole text as an array.
 
@@ -212,7 +229,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(shared.value)
+        encoder = worker_encoder(shared)
         for part in text_slices(frames):
             yield part.drop(columns="text").assign(ids=encoder.encode(part["text"].tolist()))
 

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, langid, ngram_join, rans, secret_scan, topk
+from cadenza.llm import bpe, decontaminate, html_extract, langid, ngram_join, rans, secret_scan, topk
 from cadenza.llm.common import id_remainder, importable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return run
 
 
+@query
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose sets of three-word shingles have Jaccard 0.9 or more."""
