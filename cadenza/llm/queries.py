@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, html_extract, langid, ngram_join, quality, rans, secret_scan, topk
+from cadenza.llm import bpe, decontaminate, html_extract, katz, langid, ngram_join, quality, rans, secret_scan, topk
 from cadenza.llm.common import id_remainder, importable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +66,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op6_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document by a backoff model of those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(id_remainder("doc_id", 7) == 2, F.lit(False))
+    return katz.score(docs, katz.fit(docs.filter(~held_out)), held_out)
+
+
 @query
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, learned from the labels that are not held out."""
