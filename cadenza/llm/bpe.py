@@ -8,7 +8,7 @@ the leftmost of equals, until no pair is in the vocabulary.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from heapq import heapify, heappop, heappush
 
@@ -20,7 +20,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import plain, text_slices
+from cadenza.llm.common import per_row, plain
 from cadenza.llm.words import U, mix
 
 STEP = U(0x9E3779B97F4A7C15)
@@ -217,44 +217,46 @@ def worker_encoder(shared: Broadcast) -> Encoder:
     return _worker[0]
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",), ids: str = "ids") -> DataFrame:
-    """``keep`` columns and the token ids of every row's whole text as an array.
+def token_ids(text: Column, vocabulary: Broadcast) -> Column:
+    """The token ids of a whole text as an array; none for a null or empty text.
 
-    A null or empty text has no ids. Repeated rows each get their row; other columns don't matter.
     No special tokens: their strings are ordinary text.
     """
-    kept = [plain(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    schema = ", ".join(f"k{i} {dict(docs.dtypes)[c]}" for i, c in enumerate(keep)) + ", ids array<int>"
-    # Its size is that of the vocabulary.
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = worker_encoder(shared)
-        for part in text_slices(frames):
-            yield part.drop(columns="text").assign(ids=encoder.encode(part["text"].tolist()))
+    def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
+        encoder = worker_encoder(vocabulary)
+        return lambda part: pd.DataFrame({"ids": encoder.encode(part["text"].tolist())})
 
-    rows = docs.select(*kept, plain(text).alias("text")).mapInPandas(run, schema)
-    return rows.withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)} | {"ids": ids})
+    return per_row({"text": text}, setup, "ids array<int>")["ids"]
 
 
-def decode(vocabulary: Vocabulary, encoded: DataFrame, ids: str = "ids") -> Column:
+def decoded(ids: Column, vocabulary: Broadcast) -> Column:
     """The bytes of an array of token ids; null for null. An unknown id fails the job."""
-    shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = shared.value.tokens
+        tokens = vocabulary.value.tokens
         for series in frames:
             yield series.map(lambda x: None if x is None else b"".join(map(tokens.__getitem__, x.tolist())))
 
     run.__annotations__ = {"frames": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(run, "binary")(plain(ids))
+    return F.pandas_udf(run, "binary")(ids)
+
+
+def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``ids`` and ``decoded``: every row's whole text encoded, and decoded from its ids.
+
+    Repeated rows each get their row; other columns don't matter.
+    """
+    # Its size is that of the vocabulary.
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    encoded = docs.select(F.struct(*[plain(c) for c in keep]).alias("kept"), token_ids(plain(text), shared).alias("ids"))
+    return encoded.select("kept.*", "ids", decoded(F.col("ids"), shared).alias("decoded"))
 
 
-def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, ``ids``, number of tokens and digests of the ids and of the bytes decoded from them."""
-    encoded = encode(docs, vocabulary, text, (key,))
-    return encoded.select(
-        plain(key), "ids", F.size("ids").cast("long").alias("n_tokens"),
+def digests(rows: DataFrame, *keep: str) -> DataFrame:
+    """``keep`` columns, number of ids, and digests of the ids and the decoded bytes of a round trip."""
+    return rows.select(
+        *[plain(c) for c in keep], F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(vocabulary, encoded), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,14 +57,34 @@ def id_remainder(key: str, divisor: int) -> Column:
 
 
 def text_slices(frames: Iterator[pd.DataFrame], text: str = "text") -> Iterator[pd.DataFrame]:
-    """The frames in pieces of about ``SLICE_CHARS`` characters, at least one row each, null texts empty."""
+    """The frames in pieces of about ``SLICE_CHARS`` characters, null texts empty; an empty frame as it is."""
     for frame in frames:
         texts = frame[text].where(frame[text].notna(), "")
         frame = frame.assign(**{text: texts})
         ends = texts.str.len().to_numpy(dtype="int64").cumsum()
+        if not len(frame):
+            yield frame
         start = 0
         while start < len(frame):
             done = ends[start - 1] if start else 0
             stop = max(start + 1, int(ends.searchsorted(done + SLICE_CHARS, side="right")))
             yield frame.iloc[start:stop]
             start = stop
+
+
+def per_row(
+    columns: dict[str, Column], setup: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], returns: str, text: str = "text"
+) -> Column:
+    """A struct computed row by row in Python, without sending any other column there.
+
+    ``setup`` runs once per task and returns a function from some rows of the columns, null texts
+    empty, to as many rows of the result.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        work = setup()
+        for part in text_slices(frames, text):
+            yield work(part)
+
+    run.__annotations__ = {"frames": Iterator[pd.DataFrame], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, returns)(F.struct(*[c.alias(n) for n, c in columns.items()]))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import plain, stored, text_slices
+from cadenza.llm.common import per_row, plain, stored, text_slices
 
 # On so many different pages of a host a subtree is part of the site's template.
 LEAST_PAGES = 5
@@ -230,15 +230,13 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     # At most the subtrees of one page meet in a row.
     templates = found.join(stored(recurring, "recurring"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("recurring"))
     both = rows.select("key", "page", "url", "html").join(templates.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
-    id_type = dict(pages.dtypes)[key]
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in text_slices(frames, "html"):
-            texts = [
-                parse(source).main_text(set() if recurring is None else set(recurring.tolist()))
-                for source, recurring in zip(part["html"], part["recurring"], strict=True)
-            ]
-            yield part[["page", "url"]].assign(text=texts)
+    def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
+        return lambda part: pd.DataFrame({"text": [
+            parse(page).main_text(set() if recurring is None else set(recurring.tolist()))
+            for page, recurring in zip(part["html"], part["recurring"], strict=True)
+        ]})
 
-    out = both.select("page", "url", "html", "recurring").mapInPandas(run, f"page {id_type}, url string, text string")
+    text = per_row({"html": F.col("html"), "recurring": F.col("recurring")}, setup, "text string", "html")["text"]
+    out = both.select("page", "url", text.alias("text"))
     return out.select(F.col("page").alias(key), F.col("url").alias(url), "text", F.char_length("text").cast("long").alias("n_chars"))

@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import plain, text_slices
+from cadenza.llm.common import per_row, plain
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -167,22 +167,30 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     return train([r["text"] for r in sample], [r["lang"] for r in sample]) if sample else None
 
 
-def identify(docs: DataFrame, net: ByteConvNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``lang_pred`` and ``score`` of every row, from its whole text.
+def prediction(text: Column, net: ByteConvNet | None) -> Column:
+    """``struct<lang_pred, score>`` of a text.
 
-    Texts that are null or have no letter get ``und`` and score 0, as all rows do without a network.
-    Repeated rows each get their row; other columns don't matter. Languages with equal
-    probability: the first in order.
+    Texts that are null or have no letter get ``und`` and score 0, as all texts do without a network.
+    Languages of equal probability: the first in order.
     """
-    kept = [plain(c).alias(f"k{i}") for i, c in enumerate(keep)]
-    rows = docs.select(*kept, plain(text).alias("text"))
-    schema = ", ".join(f"k{i} {dict(docs.dtypes)[c]}" for i, c in enumerate(keep)) + ", lang_pred string, score double"
 
-    def predict(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
         scorer = Scorer(net) if net else None
-        for part in text_slices(frames):
+
+        def predict(part: pd.DataFrame) -> pd.DataFrame:
             texts = part["text"].tolist()
-            names, score = scorer.predict(texts) if scorer else ([UNDETERMINED] * len(texts), 0.0)
-            yield part.drop(columns="text").assign(lang_pred=names, score=score)
+            names, score = scorer.predict(texts) if scorer else ([UNDETERMINED] * len(texts), [0.0] * len(texts))
+            return pd.DataFrame({"lang_pred": names, "score": score})
+
+        return predict
+
+    return per_row({"text": text}, setup, "lang_pred string, score double")
 
-    return rows.mapInPandas(predict, schema).withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
+
+def identify(docs: DataFrame, net: ByteConvNet | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` columns, ``lang_pred`` and ``score`` of every row, from its whole text (see ``prediction``).
+
+    Repeated rows each get their row; other columns don't matter.
+    """
+    rows = docs.select(F.struct(*[plain(c) for c in keep]).alias("kept"), prediction(plain(text), net).alias("found"))
+    return rows.select("kept.*", "found.lang_pred", "found.score")

@@ -6,15 +6,16 @@ part is ``1/2 sum_f ((sum v_if x_i)^2 - sum v_if^2 x_i^2)``, so it costs as much
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import plain, text_slices
+from cadenza.llm.common import per_row, plain, text_slices
 from cadenza.llm.words import hash_words, joined_bytes
 
 WORD_BITS = 15
@@ -150,11 +151,6 @@ def train(f: Features, labels: np.ndarray, epochs: int = 12, seed: int = 0) -> F
     return FactorisationMachine(float(params[0][0]), params[1], params[2], mean, spread)
 
 
-def _rows(docs: DataFrame, text: str, n_chars: str | None, *more: str) -> DataFrame:
-    length = plain(n_chars).cast("double") if n_chars else F.lit(None).cast("double")
-    return docs.select(*more, plain(text).alias("text"), length.alias("n_chars"))
-
-
 def fit(
     docs: DataFrame, labels: DataFrame, per_class: int = 2500, key: str = "doc_id", text: str = "text", n_chars: str | None = "n_chars", label: str = "quality"
 ) -> FactorisationMachine | None:
@@ -167,7 +163,8 @@ def fit(
     order = (F.xxhash64("labelled", F.lit("sample")), F.col("labelled"))
     sample = known.filter("label = 0").orderBy(*order).limit(per_class).unionByName(known.filter("label = 1").orderBy(*order).limit(per_class))
     # At most 2 * per_class rows are broadcast.
-    rows = docs.join(F.broadcast(sample), plain(key) == F.col("labelled"))
+    length = plain(n_chars).cast("double") if n_chars else F.lit(None).cast("double")
+    rows = docs.select(plain(key).alias("id"), plain(text).alias("text"), length.alias("n_chars")).join(F.broadcast(sample), F.col("id") == F.col("labelled"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in text_slices(frames):
@@ -179,7 +176,7 @@ def fit(
             })
 
     # In an order that does not depend on the tasks.
-    found = sorted(tuple(r) for r in _rows(rows, text, n_chars, "label").mapInPandas(run, "label int, index binary, value binary").collect())
+    found = sorted(tuple(r) for r in rows.select("label", "text", "n_chars").mapInPandas(run, "label int, index binary, value binary").collect())
     if not found:
         return None
     starts = np.concatenate([[0], np.cumsum([len(index) // 4 for _, index, _ in found])])
@@ -187,23 +184,29 @@ def fit(
     return train(Features(starts, index.astype(np.int64), value), np.array([label for label, _, _ in found]))
 
 
+def quality_score(text: Column, n_chars: Column, model: Broadcast) -> Column:
+    """The score of a text, 0 to 1; 0.5 without a model. A null text is an empty one, which is scored, too."""
+
+    def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
+        def work(part: pd.DataFrame) -> pd.DataFrame:
+            if model.value is None:
+                return pd.DataFrame({"score": np.full(len(part), 0.5)})
+            return pd.DataFrame({"score": model.value.score(features(part["text"].tolist(), part["n_chars"].to_numpy(dtype=np.float64)))})
+
+        return work
+
+    return per_row({"text": text, "n_chars": n_chars.cast("double")}, setup, "score double")["score"]
+
+
 def classify(
     docs: DataFrame, model: FactorisationMachine | None, keep: tuple[str, ...] = ("doc_id",), text: str = "text", n_chars: str | None = "n_chars"
 ) -> DataFrame:
     """``keep`` columns, ``score`` and ``predicted`` (1 from score 0.5 on) of every row's whole text.
 
-    Null texts are empty texts, which are scored by their statistics; without a model every score is
-    0.5. Repeated rows each get their row; other columns don't matter.
+    Repeated rows each get their row; other columns don't matter.
     """
-    rows = _rows(docs, text, n_chars, *[plain(c).alias(f"k{i}") for i, c in enumerate(keep)])
-    schema = ", ".join(f"k{i} {dict(docs.dtypes)[c]}" for i, c in enumerate(keep)) + ", score double"
     # Its size is fixed by the numbers of features and factors.
     shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in text_slices(frames):
-            score = 0.5 if shared.value is None else shared.value.score(features(part["text"].tolist(), part["n_chars"].to_numpy(dtype=np.float64)))
-            yield part.drop(columns=["text", "n_chars"]).assign(score=score)
-
-    scored = rows.mapInPandas(run, schema).withColumnsRenamed({f"k{i}": c for i, c in enumerate(keep)})
-    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    length = plain(n_chars) if n_chars else F.lit(None).cast("double")
+    rows = docs.select(F.struct(*[plain(c) for c in keep]).alias("kept"), quality_score(plain(text), length, shared).alias("score"))
+    return rows.select("kept.*", "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))

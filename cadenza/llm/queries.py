@@ -88,7 +88,7 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.load(
         public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     )
-    return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary).drop("ids")
+    return bpe.digests(bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary), "doc_id")
 
 
 @query
