@@ -56,6 +56,26 @@ def id_remainder(key: str, divisor: int) -> Column:
     return F.pmod(F.crc32(plain(key).cast("string").cast("binary")), F.lit(divisor))
 
 
+# A fixed number: so many rows at most are broadcast by ``may_be_among``.
+ID_BUCKETS = 1 << 20
+
+
+def may_be_among(rows: DataFrame, key: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose key may be among ``ids`` (a frame of one column), or those whose key is not (``left_anti``).
+
+    Keys are told apart by a hash into a fixed number of buckets, so the broadcast is bounded and
+    rows that a join would drop anyway need not be shuffled for it. Null keys are not among them.
+    """
+
+    def bucket(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS)).cast("int")
+
+    name = ids.columns[0]
+    buckets = ids.select(bucket(plain(name)).alias("id_bucket")).distinct()
+    own = F.when(plain(key).isNotNull(), bucket(plain(key)))
+    return rows.join(F.broadcast(buckets), own == F.col("id_bucket"), how)
+
+
 def text_slices(frames: Iterator[pd.DataFrame], text: str = "text") -> Iterator[pd.DataFrame]:
     """The frames in pieces of about ``SLICE_CHARS`` characters, null texts empty; an empty frame as it is."""
     for frame in frames:

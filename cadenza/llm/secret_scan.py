@@ -102,11 +102,11 @@ def _long_enough(rule: Rule) -> str:
     return f"{body}{{{rule.least - fixed},}}"
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of every row and ``found``: the spans of all rules, by start, then rule.
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, key: str = "doc_id", text: str = "text", out: str = "found") -> DataFrame:
+    """All columns of every row and ``out``: the spans of all rules, by start, then rule.
 
     Null and empty texts have no spans. Rows that share an id, null included, share their postings and
-    are verified one by one. ``found`` must not be a column of the input; other names don't matter.
+    are verified one by one. ``out`` must not be a column of the input; other columns don't matter.
     """
     row = docs.select(plain(key).alias("id"), F.struct(*[plain(c) for c in docs.columns]).alias("row"))
     index = stored(postings(docs, rules, key, text), "postings")
@@ -117,9 +117,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, key: str = "doc
         else F.when(F.array_contains("rules", i), spans(whole, i, r)).otherwise(F.array().cast(f"array<{SPAN}>"))
         for i, r in enumerate(rules)
     ]
-    return row.join(allowed, F.col("id").eqNullSafe(F.col("candidate")), "left").select(
-        *[F.col("row")[c].alias(c) for c in docs.columns], F.array_sort(F.concat(*verify)).alias("found")
-    )
+    found = row.join(allowed, F.col("id").eqNullSafe(F.col("candidate")), "left").select("row", F.array_sort(F.concat(*verify)).alias("spans"))
+    return found.select("row.*", F.col("spans").alias(out))
 
 
 def listed(found: Column) -> Column:
