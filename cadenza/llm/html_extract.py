@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -51,6 +52,7 @@ ENDS = {
     "thead": ("tr", "td", "th"), "tbody": ("thead", "tbody", "tr", "td", "th"), "tfoot": ("tbody", "tr", "td", "th"),
     "option": ("option",), "optgroup": ("option", "optgroup"),
 }
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BARRIERS = frozenset("ul ol dl table select menu dir html body".split())
 
 COMMENT = re.compile(r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|</[^a-zA-Z>][^>]*(?:>|\Z)|</>", re.S)
@@ -97,6 +99,8 @@ def parse(source: str) -> Page:
     """Parse a page, however broken: unknown end tags are ignored, open elements end with the page."""
     page = Page()
     stack = [Element("", False, False, False, 0)]
+    # How many elements of each tag are open, and of each kind.
+    opened: Counter[str] = Counter()
     buffer: list[str] = []
 
     def flush() -> None:
@@ -104,21 +108,25 @@ def parse(source: str) -> Page:
         buffer.clear()
         if text:
             page.texts.append(text)
-            page.content.append(any(e.content for e in stack))
-            header = any(e.tag == "header" for e in stack) and not any(e.tag[:1] == "h" and e.tag[1:].isdigit() for e in stack)
-            page.dropped.append(header or any(e.dropped for e in stack))
+            page.content.append(opened["(content)"] > 0)
+            header = opened["header"] > 0 and not any(opened[h] for h in HEADINGS)
+            page.dropped.append(header or opened["(dropped)"] > 0)
             stack[-1].parts.append(text)
 
+    def kinds(element: Element) -> list[str]:
+        return [element.tag, *["(content)"] * element.content, *["(dropped)"] * element.dropped]
+
     def close() -> None:
         element = stack[-1]
+        if not element.inline:
+            flush()
+        stack.pop()
+        opened.subtract(kinds(element))
         if element.inline:
-            stack.pop()
             return
-        flush()
-        stack.pop()
         name = xxhash.xxh3_64_hexdigest("\0".join([element.tag, *element.parts]).encode("utf-8", "surrogatepass"))
         stack[-1].parts.append(f"<{name}>")
-        inside = any(e.content for e in stack) or element.content
+        inside = opened["(content)"] > 0 or element.content
         if len(page.texts) > element.first and not (inside and (element.tag in PROSE or element.content)):
             page.subtrees.append((int(name, 16) - (1 << 63), element.first, len(page.texts)))
 
@@ -150,7 +158,7 @@ def parse(source: str) -> Page:
         if found[1]:
             if tag == "br":
                 buffer.append(" ")
-            elif any(e.tag == tag for e in stack):
+            elif opened[tag]:
                 while stack[-1].tag != tag:
                     close()
                 close()
@@ -158,12 +166,12 @@ def parse(source: str) -> Page:
                 flush()
             continue
         if tag in BLOCKS:
-            if any(e.tag == "p" for e in stack):
+            if opened["p"]:
                 while stack[-1].tag != "p":
                     close()
                 close()
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].tag in ENDS.get(tag, ()):
+            for depth in range(len(stack) - 1, 0, -1) if any(opened[t] for t in ENDS.get(tag, ())) else ():
+                if stack[depth].tag in ENDS[tag]:
                     while len(stack) > depth:
                         close()
                 elif stack[depth].tag in BARRIERS:
@@ -187,8 +195,9 @@ def parse(source: str) -> Page:
         content = tag in CONTENT or bool(attributes and ROLE_MAIN.search(attributes))
         top = tag in ("html", "body")
         dropped = not top and not content and (tag in DROPPED or bool(names & NO_CONTENT) or bool(attributes and HIDDEN.search(attributes)))
-        page.has_content |= content and not any(e.dropped for e in stack)
+        page.has_content |= content and not opened["(dropped)"]
         stack.append(Element(tag, dropped, content, inline, len(page.texts)))
+        opened.update(kinds(stack[-1]))
     while len(stack) > 1:
         close()
     flush()
