@@ -14,24 +14,23 @@ shingle of one side only; what passes is decided by the exact intersection of th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import plain, stored, text_slices
+from cadenza.llm.common import may_be_among, per_row, plain, stored, text_slices
 from cadenza.llm.components import components
 from cadenza.llm.words import U, mix, shingle_sets
 
-BITMAP_LONGS = 8
 # Frequent shingles are put last in the order. That changes the work, never the result: shingles are
 # counted in pieces of so many, those seen at least so often in a piece are added up, and so
 # many of the most frequent ones are kept (the size of the broadcast).
 PIECE = 1 << 22
-PIECE_COUNT = 4
+PIECE_COUNT = 3
 FREQUENT = 1 << 17
 
 
@@ -96,43 +95,53 @@ def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.n
     """``id, n, d1, d2, bits, tiles`` per document: set size, a 128-bit digest of the set, bitmap and tile keys."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
-    def profile(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
         hashes, counts = shared.value
-        ends = rule.upper_ends(1000)
-        for part in text_slices(frames):
-            rows = []
-            for own in shingle_sets(part["text"].tolist(), rule.n):
-                size = len(own)
-                if not size:
-                    rows.append((0, 0, 0, [], []))
-                    continue
-                if size > ends[-1]:
-                    ends = rule.upper_ends(size)
-                parity = np.bincount((own & U(64 * BITMAP_LONGS - 1)).astype(np.int64), minlength=64 * BITMAP_LONGS) & 1
-                first = own[: rule.prefix(size)]
-                if len(hashes):
-                    at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
-                    often = np.where(hashes[at] == own, counts[at], 0)
-                    if often.any():
-                        first = own[np.lexsort((own, often))[: rule.prefix(size)]]
-                band = int(np.searchsorted(ends, size))
-                bands = [band] if rule.den * size // rule.num <= ends[band] else [band, band + 1]
-                keys = np.concatenate([mix(first ^ mix(np.full(1, k + 1, dtype=np.uint64))) for k in bands])
-                rows.append((
-                    size, int(mix(own).sum(dtype=np.uint64).view(np.int64)), int(mix(own ^ U(0x5851F42D4C957F2D)).sum(dtype=np.uint64).view(np.int64)),
-                    np.packbits(parity.astype(np.uint8)).view(np.int64), keys.view(np.int64),
-                ))
-            yield pd.DataFrame({"id": part["id"].to_numpy(), **dict(zip(("n", "d1", "d2", "bits", "tiles"), map(list, zip(*rows, strict=True)), strict=True))})
-
-    return docs.mapInPandas(profile, "id long, n long, d1 long, d2 long, bits array<long>, tiles array<long>")
+        ends = rule.upper_ends(100_000)
+
+        def one(own: np.ndarray) -> tuple:
+            size = len(own)
+            if not size:
+                return 0, 0, 0, [], []
+            width = max(64, 1 << (size - 1).bit_length())
+            parity = np.bincount((own & U(width - 1)).astype(np.int64), minlength=width) & 1
+            first = own[: rule.prefix(size)]
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+                often = np.where(hashes[at] == own, counts[at], 0)
+                if often.any():
+                    first = own[np.lexsort((own, often))[: rule.prefix(size)]]
+            uppers = ends if size <= ends[-1] else rule.upper_ends(size)
+            band = int(np.searchsorted(uppers, size))
+            bands = [band] if rule.den * size // rule.num <= uppers[band] else [band, band + 1]
+            keys = np.concatenate([mix(first ^ mix(np.full(1, k + 1, dtype=np.uint64))) for k in bands])
+            digest = [int(mix(h).sum(dtype=np.uint64).view(np.int64)) for h in (own, own ^ U(0x5851F42D4C957F2D))]
+            return size, *digest, np.packbits(parity.astype(np.uint8)).view(np.int64), keys.view(np.int64)
+
+        def profile(part: pd.DataFrame) -> pd.DataFrame:
+            return pd.DataFrame([one(own) for own in shingle_sets(part["text"].tolist(), rule.n)], columns=["n", "d1", "d2", "bits", "tiles"])
+
+        return profile
+
+    found = per_row({"text": F.col("text")}, setup, "n long, d1 long, d2 long, bits array<long>, tiles array<long>")
+    return docs.select("id", found.alias("found")).select("id", "found.*")
 
 
 def differing_bits(a: Column, b: Column) -> Column:
-    """Number of bits in which two bitmaps differ."""
-    total = F.lit(0)
-    for i in range(BITMAP_LONGS):
-        total = total + F.bit_count(a[i].bitwiseXOR(b[i]))
-    return total
+    """Number of bits in which two bitmaps differ; the wider one is folded to the width of the other.
+
+    Bit ``i`` stands for the shingles with ``i`` as their last bits, so the halves of a bitmap, added
+    bit by bit, are the bitmap of half the width. Sizes that can be similar are at most one step apart.
+    """
+
+    def folded(wide: Column, other: Column) -> Column:
+        half = (F.size(wide) / 2).cast("int")
+        return F.when(
+            F.size(wide) > F.size(other), F.zip_with(F.slice(wide, F.lit(1), half), F.slice(wide, half + 1, half), lambda x, y: x.bitwiseXOR(y))
+        ).otherwise(wide)
+
+    each = F.zip_with(folded(a, b), folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(each, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
 
 
 def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
@@ -146,8 +155,9 @@ def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Simila
     )
     sides = bounded.select("a", "b", F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(0).alias("side")), F.struct(F.col("b").alias("id"), F.lit(1).alias("side")))).alias("s"))
     sides = sides.select("a", "b", "s.id", "s.side")
+    sides = stored(sides, "sides")
     # Two texts a pair, or as many as there are rows with the two ids.
-    texts = sides.join(docs, "id").groupBy("a", "b").agg(F.collect_list(F.struct("side", "text")).alias("texts"))
+    texts = sides.join(may_be_among(docs, "id", sides.select("id")), "id").groupBy("a", "b").agg(F.collect_list(F.struct("side", "text")).alias("texts"))
 
     def check(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -194,23 +204,23 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     # An id with several sets belongs to several classes: those are one document.
     firsts = reps.groupBy("id").agg(F.min("rep").alias("a"))
     same = reps.join(firsts, "id").filter("rep != a").select("a", F.col("rep").alias("b"))
-    stars = stored(between_reps(tiled.filter("id != least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()), "stars")
+    # One comparison a document: with the smallest id of all its tiles.
+    nearest = tiled.groupBy("id").agg(F.min("least").alias("a")).filter("a != id").select("a", F.col("id").alias("b"))
+    stars = stored(between_reps(nearest), "stars")
     links = stored(verified(stars, members, own, rule).unionByName(same), "links")
     found = components(links)
     # What is left: tiles with documents of different components.
     placed = stored(
-        members.select("id", "rep", "n", "bits").join(found.withColumnsRenamed({"id": "rep"}), "rep", "left")
-        .select("id", "rep", "n", "bits", F.coalesce("component", "rep").alias("component")), "placed",
+        members.select("id", "rep", "n").join(found.withColumnsRenamed({"id": "rep"}), "rep", "left")
+        .select("id", "rep", "n", F.coalesce("component", "rep").alias("component")), "placed",
     )
     spread = stored(tiled.select("tile", "id").join(placed.select("id", "rep", "component"), "id").select("tile", "rep", "component").distinct(), "spread")
     mixed = spread.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("tile")
-    sized = placed.filter("id = rep").select("rep", "n", "bits")
-    left = stored(spread.join(mixed, "tile").join(sized, "rep").select("tile", "rep", "component", "n", "bits"), "left")
-    right = left.withColumnsRenamed({c: f"{c}_b" for c in ("rep", "component", "n", "bits")})
+    sized = placed.filter("id = rep").select("rep", "n")
+    left = stored(spread.join(mixed, "tile").join(sized, "rep").select("tile", "rep", "component", "n"), "left")
+    right = left.withColumnsRenamed({"tile": "tile_b", "rep": "rep_b", "component": "component_b", "n": "n_b"})
     across = left.join(
-        right,
-        (left["tile"] == right["tile"]) & (F.col("component") < F.col("component_b"))
-        & rule.possible(F.col("n"), F.col("n_b"), differing_bits(F.col("bits"), F.col("bits_b"))),
+        right, (F.col("tile") == F.col("tile_b")) & (F.col("component") < F.col("component_b")) & rule.possible(F.col("n"), F.col("n_b"), F.lit(0))
     ).select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
     untested = across.join(stars, ["a", "b"], "left_anti")
     more = stored(verified(untested, members, own, rule), "links")
@@ -222,3 +232,23 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
         F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")
     )
 
+
+
+def one_of_each(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All columns of the row that stays of every component: the one of smallest id.
+
+    Of rows with one id the first by text stays. Rows with a null id, a null text or an empty one are
+    linked with nothing and stay.
+    """
+    found = stored(join(docs, rule, key, text), "components")
+    ids = found.select(plain(key).alias("id"), "component_id")
+    gone = ids.filter("component_id != id").select("id").distinct()
+    repeated = ids.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
+    affected = stored(gone.withColumn("goes", F.lit(True)).unionByName(repeated.withColumn("goes", F.lit(False))).groupBy("id").agg(F.max("goes").alias("goes")), "affected")
+    # Only rows that may be affected are shuffled.
+    rows = docs.select(plain(key).cast("long").alias("id"), plain(text).alias("text"), F.struct(*[plain(c) for c in docs.columns]).alias("row"))
+    others = may_be_among(rows, "id", affected.select("id"), "left_anti")
+    judged = may_be_among(rows, "id", affected.select("id")).join(affected.withColumnRenamed("id", "affected"), F.col("id") == F.col("affected"), "left")
+    first = F.row_number().over(Window.partitionBy("id").orderBy("text"))
+    stay = judged.filter(~F.coalesce("goes", F.lit(False))).withColumn("first", first).filter("first = 1")
+    return others.select("row.*").unionByName(stay.select("row.*"))
