@@ -1,33 +1,35 @@
-"""Cutting lineage in storage that outlives an executor."""
+"""Frames that several branches of a plan read."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a temporary one only for local runs that name none."""
-    context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    context.setCheckpointDir(folder)
-    return folder
+def shared_folder(spark: SparkSession) -> str:
+    """Where intermediate tables go: ``spark.checkpoint.dir``; where that is unset, a folder in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """The frame computed once, when it is first needed, however often it is used.
+
+    Executors keep it in memory and, beyond that, on their disks; the lineage stays, so what a lost
+    executor held is computed again. Nothing runs before the result is asked for.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """The frame written as a table to the checkpoint folder and read from there: computed once,
-    however often it is used afterwards, and not again after an executor loss. Readers take only
-    the columns they need."""
+    """The frame written as a table to the shared folder and read from there.
+
+    For the inputs of long plans: computed once, and not again after an executor loss; what is built on
+    it starts from a scan, with its columns pruned and its size known. Writes when called.
+    """
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -13,6 +13,12 @@ from cadenza.functions.text import blacklist_terms, clean_text
 # Texts that stand for a missing value.
 SENTINELS = ["nan", "none", "None", ""]
 
+# Texts that table readers commonly take for a missing value.
+MISSING_TEXTS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None",
+    "n/a", "nan", "null",
+]
+
 
 def expect_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The frame itself, or an error naming the missing columns."""
@@ -57,6 +63,7 @@ def clean_merge_side(df: DataFrame) -> DataFrame:
     joins nothing.
     """
     df = drop_matching_columns(expect_columns(df, ["component", "study"]))
+    df = null_sentinels(df, [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)], MISSING_TEXTS)
     texts = [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, T.StringType) and f.name not in ("component", "study")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cadenza.functions.text import SPACE
 from cadenza.lineage import durable
-from cadenza.skew import skew_join, spread
+from cadenza.skew import key_join, spread
 
 # Words, numbers and single marks of a text.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]+(?:['’.\-+/][\p{L}\p{N}_]+)*|[^\p{L}\p{N}_\s\p{Z}]"
@@ -79,7 +79,7 @@ def edit_distance_pairs(tokens: DataFrame, token: str, terms: DataFrame, term: s
         "term", "s.n", "s.number", "s.piece"
     )
     near = F.levenshtein("token", "term", max_distance)
-    candidates = skew_join(probes, index, ["n", "number", "piece"], on=near >= 0)
+    candidates = key_join(probes, index, ["n", "number", "piece"], on=near >= 0)
     return candidates.select("token", "term").distinct().select(
         F.col("token").alias(token), F.col("term").alias(term), F.levenshtein("token", "term", max_distance).alias("distance")
     )
@@ -105,7 +105,7 @@ def edit_distance_matches(
     found = durable(rows.select(*keys, F.explode(F.array_distinct(tokenize(fold(F.col(text))))).alias("token")))
     if lemmas is not None:
         known = lemmas.select("token", "lemma").dropDuplicates(["token"])
-        found = skew_join(found, known, ["token"], "left").select(*keys, F.coalesce("lemma", "token").alias("token"))
+        found = key_join(found, known, ["token"], "left").select(*keys, F.coalesce("lemma", "token").alias("token"))
     vocabulary = terms.select(fold(F.col(term)).alias(term))
     pairs = durable(edit_distance_pairs(found.select("token"), "token", vocabulary, term, max_distance))
-    return skew_join(found, pairs.select("token", term), ["token"]).select(*keys, term).distinct()
+    return key_join(found, pairs.select("token", term), ["token"]).select(*keys, term).distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import title_case
+from cadenza.lineage import kept
 from cadenza.operators.cleaning import expect_columns
 from cadenza.skew import numbered
 
@@ -55,10 +56,13 @@ def missing_items(components: DataFrame, reference: DataFrame) -> DataFrame:
 
 
 def largest_id(known: DataFrame, column: str) -> Column:
-    """Greatest numeric id of the known rows, 0 without one."""
-    # Texts that are no number are dropped before the cast.
-    number = F.when(F.col(column).rlike(r"^\s*\d{1,18}\s*$"), F.trim(column)).cast("bigint")
-    return known.agg(F.coalesce(F.max(number), F.lit(0).cast("bigint"))).scalar()
+    """Greatest numeric id of the known rows, rounded down, 0 without one.
+
+    Signs, decimals and exponents are numbers, too (a number column read as text ends in ``.0``).
+    """
+    # Texts that are no number are dropped before the cast: one that fails costs more.
+    number = F.when(F.col(column).rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), F.trim(column)).try_cast("decimal(38,6)")
+    return known.agg(F.coalesce(F.floor(F.max(number)), F.lit(0)).cast("decimal(38,0)")).scalar()
 
 
 def complete_items(final: DataFrame, reference: DataFrame) -> DataFrame:
@@ -67,6 +71,7 @@ def complete_items(final: DataFrame, reference: DataFrame) -> DataFrame:
     components = final.select(F.lower("component").alias("component")).filter(F.col("component").isNotNull()).distinct()
     known = known_items(components, reference)
     added = numbered(missing_items(components, reference), "component", "_no")
+    known = kept(known)
     concept = (largest_id(known, "concept_id") + F.col("_no")).cast("string")
     name = title_case(F.col("component"))
     entries = added.select(

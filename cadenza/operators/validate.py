@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import compare_key, normalise_new_name, normalise_old_name
-from cadenza.skew import numbered, skew_join
+from cadenza.lineage import kept as keep
+from cadenza.skew import key_join, numbered
 
 # Marks of the match classes in the report.
 MARKS = {"correct": "✅", "partial": "⚠️", "failed": "❌"}
@@ -34,16 +35,17 @@ def shared_rows(merged: DataFrame, shared: DataFrame) -> DataFrame:
 def _strings(table: DataFrame, shared: DataFrame, name: str) -> DataFrame:
     """``(regimen, text)``: distinct comparable short strings under the new name."""
     distinct = table.select(F.col("regName").alias(name), compare_key(F.col("shortString")).alias("text")).distinct()
-    return skew_join(distinct, shared.select(name, F.col("new_name").alias("regimen")) if name != "new_name"
+    return key_join(distinct, shared.select(name, F.col("new_name").alias("regimen")) if name != "new_name"
                      else shared.select(name, F.col(name).alias("regimen")), [name]).select("regimen", "text")
 
 
-def match_status(new: DataFrame, old: DataFrame, merged: DataFrame) -> DataFrame:
+def match_status(new: DataFrame, old: DataFrame, merged: DataFrame, shared: DataFrame | None = None) -> DataFrame:
     """``(regimen, status, n_new, n_hit)`` of the shared regimens that have merged rows.
 
     ``correct``: all new strings are among the old ones, ``partial``: some, ``failed``: none.
+    ``shared`` are the shared names, if they are there already.
     """
-    shared = shared_names(new, old)
+    shared = keep(shared_names(new, old)) if shared is None else shared
     present = shared_rows(merged, shared).select("regimen").distinct()
     hits = _strings(new, shared, "new_name").join(
         _strings(old, shared, "old_name").withColumn("hit", F.lit(True)), ["regimen", "text"], "left"
@@ -91,14 +93,15 @@ def _shown(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("nan"))
 
 
-def report_lines(new: DataFrame, old: DataFrame, merged: DataFrame) -> DataFrame:
+def report_lines(new: DataFrame, old: DataFrame, merged: DataFrame, status: DataFrame | None = None) -> DataFrame:
     """The report as rows ``(priority, regimen, part, place, variant, step, with_text, line)``.
 
     A block per regimen that is not fully correct. Separators are rows of their own between
     variants, and listed strings are numbered by bucket, so no block is put together in one task.
+    ``status`` is the result of ``match_status``, if it is there already.
     """
-    status = match_status(new, old, merged)
-    shared = shared_names(new, old)
+    shared = keep(shared_names(new, old))
+    status = keep(match_status(new, old, merged, shared)) if status is None else status
     open_ = status.filter(F.col("status") != "correct").select(
         "regimen", "status", F.when(F.col("status") == "partial", 1).otherwise(2).alias("priority")
     )
@@ -133,13 +136,14 @@ def report_lines(new: DataFrame, old: DataFrame, merged: DataFrame) -> DataFrame
         F.lit(0).alias("step"), null.alias("with_text"), "h.line",
     )
     for part, table, name in ((3, new, "new_name"), (5, old, "old_name")):
-        listed = numbered(_strings(table, shared, name), "text", "_no", ["regimen"])
-        listed = skew_join(listed, open_.select("regimen", "priority"), ["regimen"])
+        # Only the strings of open regimens are numbered.
+        listed = key_join(_strings(table, shared, name), open_.select("regimen", "priority"), ["regimen"])
+        listed = numbered(keep(listed), "text", "_no", ["regimen"])
         place = F.col("_no") - 1
         out = out.unionByName(rows(listed, part, F.concat_ws(" ", place.cast("string"), "text"), place))
 
     kept = merged.groupBy("regimen", *ROW_KEYS).agg(F.max("with").alias("with"))
-    kept = skew_join(kept, open_.select("regimen", "priority"), ["regimen"])
+    kept = keep(key_join(kept, open_.select("regimen", "priority"), ["regimen"]))
     cells = [_shown(c) for c in ("regimen_cui", "component", "cyclesigs", "with", "variant", "allDays", "condition")]
     out = out.unionByName(
         rows(kept, 9, F.concat_ws(" | ", *cells), None, F.col("variant"), 1, F.col("with"))

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that matter at any size. Shuffle parallelism is left to the cluster
-# (AQE coalesces small partitions), only local runs lower it.
+# Settings that matter at any size. Shuffle parallelism belongs to the cluster: set
+# spark.sql.adaptive.coalescePartitions.initialPartitionNum to the input size over 128 MB;
+# adaptive execution joins small partitions again.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Hot keys are split even where that takes another shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.parquet.filterPushdown": "true",
 }
 

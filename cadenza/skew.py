@@ -1,8 +1,4 @@
-"""Joins and numbering that stay spread out when one key holds much of the data.
-
-Salts are hashes of the row, never random numbers or row positions: a task that is
-run again after an executor loss gives every row the same salt.
-"""
+"""Joins and numbering that stay spread out when one key holds much of the data."""
 
 from __future__ import annotations
 
@@ -11,12 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Keys are counted by hash bucket, so what is counted has this many numbers whatever the data.
-BUCKETS = 4096
-# A bucket with more than 1/SLICES of the rows is hot and is cut into parts of that size.
-SLICES = 512
-
-
 def same_keys(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> Column:
     """Equality of two key lists."""
     condition = F.lit(True)
@@ -25,69 +15,32 @@ def same_keys(left: Sequence[Column], right: Sequence[Column], null_safe: bool)
     return condition
 
 
-def _bucket(keys: Sequence[Column]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")
-
-
-def bucket_parts(df: DataFrame, keys: Sequence[str], slices: int = SLICES) -> Column:
-    """Scalar array: into how many parts to cut the rows of each key bucket.
-
-    One aggregation that combines map-side over the key columns only. The counts are exact,
-    so both sides of a join see the same array even if it is computed twice.
-    """
-    counted = df.select(_bucket([F.col(k) for k in keys]).alias("b"), F.lit(1).alias("n"))
-    every = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b"), F.lit(0).alias("n"))
-    sizes = counted.groupBy("b").agg(F.sum("n").alias("n")).unionByName(every.withColumn("n", F.lit(0).cast("long")))
-    dense = sizes.groupBy("b").agg(F.sum("n").alias("n")).agg(
-        F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("b", "n"))).alias("sizes")
-    )
-    return dense.select(
-        F.transform(
-            "sizes",
-            lambda e: F.when(e["n"] * slices > F.col("total"), F.ceil(e["n"] * slices / F.col("total")))
-            .otherwise(F.lit(1)).cast("int"),
-        )
-    ).scalar()
-
-
-def skew_join(
+def key_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str = "inner",
     null_safe: bool = False,
     on: Column | None = None,
-    slices: int = SLICES,
 ) -> DataFrame:
-    """Equi-join whose hot left keys are cut into parts; other keys are joined as usual.
+    """Equi-join on equally named keys; the key columns of the right side are dropped.
 
-    Left rows of a hot key get a part number from a hash of the row, right rows of a hot
-    key are copied to each of its parts. ``how`` is ``inner`` or ``left``. The key columns
-    of the right side are dropped. ``on`` adds a condition over columns of both sides.
+    A key that is hot on either side, or on both, is cut by Spark while the join runs: adaptive
+    execution splits the shuffle partition that holds it and pairs each piece with the other
+    side's rows (``session.SETTINGS`` allows that wherever it helps). ``how`` is ``inner`` or ``left``.
+    ``on`` adds a condition over columns of both sides.
     """
     if how not in ("inner", "left"):
-        raise ValueError(f"skew_join does inner and left joins, not {how}")
+        raise ValueError(f"key_join does inner and left joins, not {how}")
     for key in keys:
         if left.schema[key].dataType != right.schema[key].dataType:
             raise ValueError(f"key {key} has different types on the two sides")
-    parts = bucket_parts(left, keys, slices)
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-    cut_left = left.select(
-        "*", F.pmod(row_hash, F.get(parts, _bucket([F.col(k) for k in keys]))).cast("int").alias("_part")
-    )
     renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
     right_keys = [F.col(f"_right_{k}") for k in keys]
-    cut_right = renamed.select(
-        "*", F.explode(F.sequence(F.lit(0), F.get(parts, _bucket(right_keys)) - 1)).alias("_right_part")
-    )
-    condition = same_keys([F.col(k) for k in keys], right_keys, null_safe) & (
-        F.col("_part") == F.col("_right_part")
-    )
+    condition = same_keys([F.col(k) for k in keys], right_keys, null_safe)
     if on is not None:
         condition = condition & on
-    return cut_left.join(cut_right, condition, how).drop(
-        "_part", "_right_part", *[f"_right_{k}" for k in keys]
-    )
+    return left.join(renamed, condition, how).drop(*[f"_right_{k}" for k in keys])
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

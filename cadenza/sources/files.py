@@ -12,9 +12,6 @@ from pyspark.sql import types as T
 from cadenza.functions.text import strip
 from cadenza.operators.reference import ITEM_COLUMNS
 
-REPLACEMENT = "�"
-
-
 def read_delimited(
     spark: SparkSession,
     path: str | list[str],
@@ -22,12 +19,13 @@ def read_delimited(
     schema: T.StructType | str | None = None,
     encoding: str = "UTF-8",
     infer: bool = False,
-    multi_line: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Delimited file with a header; empty fields are null.
 
     All columns are text without a ``schema`` (preferred) or ``infer``, which reads the data
-    an extra time. ``multi_line`` allows line breaks in quoted fields but files are then not split.
+    an extra time. Quoted fields may hold line breaks; a file is then read by one task. Of large inputs
+    without any, ``multi_line=False`` lets Spark split each file.
     """
     reader = spark.read.options(
         header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multi_line, enforceSchema=False
@@ -77,16 +75,11 @@ def read_term_lists(spark: SparkSession, path: str) -> DataFrame:
 def load_encoded(spark: SparkSession, path: str, sep: str = ",") -> DataFrame | None:
     """Delimited file read as UTF-8, or as ISO-8859-1 when it is not valid UTF-8; None if it is missing."""
     try:
-        frame = read_delimited(spark, path, sep)
+        # Lines are read as they are, so the bytes decide, not characters that decoding has put in.
+        broken = spark.read.text(path).filter(~F.is_valid_utf8("value"))
+        return read_delimited(spark, path, sep, encoding="UTF-8" if broken.isEmpty() else "ISO-8859-1")
     except AnalysisException:
         return None
-    if not any(REPLACEMENT in c for c in frame.columns):
-        broken = F.lit(False)
-        for c in frame.columns:
-            broken = broken | F.coalesce(F.col(f"`{c}`").contains(REPLACEMENT), F.lit(False))
-        if frame.filter(broken).isEmpty():
-            return frame
-    return read_delimited(spark, path, sep, encoding="ISO-8859-1")
 
 
 def _paths(spark: SparkSession, folder: str, pattern: str) -> list[str]:

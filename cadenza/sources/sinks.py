@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cadenza.operators.shape import first_per_short_string, sort_output
 from cadenza.operators.validate import sort_report
-from cadenza.sources.files import read_tsv
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
@@ -16,10 +15,9 @@ def write_tsv(df: DataFrame, path: str) -> None:
 
 
 def write_products(final: DataFrame, full_path: str, short_path: str) -> None:
-    """The sorted full table, and one row per short string taken from the written full table."""
+    """The sorted full table, and one row per short string. ``final`` is read twice: pass a stored table."""
     write_tsv(sort_output(final), full_path)
-    full = read_tsv(final.sparkSession, full_path, schema=final.schema)
-    write_tsv(sort_output(first_per_short_string(full)), short_path)
+    write_tsv(sort_output(first_per_short_string(final)), short_path)
 
 
 def write_report(lines: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ from cadenza import skew
 
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("null_safe", [False, True])
-def test_skew_join_equals_join(spark, how, null_safe):
+def test_key_join_equals_join(spark, how, null_safe):
     # A third of the rows has key 7, some have no key; one key is missing on the right.
     left = spark.range(3000).select(
         F.col("id").alias("v"),
@@ -16,20 +16,45 @@ def test_skew_join_equals_join(spark, how, null_safe):
     renamed = right.withColumnRenamed("k", "k2")
     condition = F.col("k").eqNullSafe(F.col("k2")) if null_safe else F.col("k") == F.col("k2")
     want = left.join(renamed, condition, how).drop("k2")
-    got = skew.skew_join(left, right, ["k"], how, null_safe)
+    got = skew.key_join(left, right, ["k"], how, null_safe)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
-def test_hot_key_is_cut(spark):
-    left = spark.range(2000).select("id", F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
-    sizes = left.select(skew.bucket_parts(left, ["k"]).alias("parts")).first().parts
-    assert len(sizes) == skew.BUCKETS and max(sizes) > 100 and sorted(sizes)[skew.BUCKETS // 2] == 1
+@pytest.mark.parametrize("hot", ["left", "right", "both"])
+def test_hot_keys_are_split(spark, hot):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k) for k in small}
+    for k, v in small.items():
+        spark.conf.set(k, v)
 
+    def side(name, is_hot):
+        # Half of a hot side has one key, of which the other side has a row.
+        odd = F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id"))
+        rows = spark.range(2000).repartition(8)
+        return rows.select((odd if is_hot else F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 512).alias(name))
 
-def test_skew_join_refuses_other_types(spark):
+    try:
+        left, right = side("x", hot in ("left", "both")), side("y", hot in ("right", "both"))
+        joined = skew.key_join(left, right, ["k"])
+        # Both texts are asked for, so that they are shuffled.
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"), F.max("x"), F.max("y"))
+        parts = [r["n"] for r in sizes.collect()]
+        assert sum(parts) == {"left": 2000, "right": 2000, "both": 1000 * 1000 + 1000}[hot]
+        # The rows of the hot key come out of several tasks.
+        assert max(parts) < 0.4 * sum(parts)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_key_join_refuses_other_types(spark):
     with pytest.raises(ValueError, match="different types"):
-        skew.skew_join(spark.range(1), spark.createDataFrame([("1",)], "id string"), ["id"])
+        skew.key_join(spark.range(1), spark.createDataFrame([("1",)], "id string"), ["id"])
 
 
 def test_numbering(spark):

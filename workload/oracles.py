@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cadenza.operators.matching import SKIP_WORDS
+
 LINES = """
 lines as (
   select * from lineitem join part on l_partkey = p_partkey join orders on l_orderkey = o_orderkey
@@ -84,7 +86,7 @@ texts as (
     string_agg(concat(gap, '.', drug), ';' order by day0, rn) as t
   from joined group by all
 ),
-strings as (
+strings as materialized (
   select {keys}, vector_len, n_drugs, case when n_drugs = 1 then concat(t, ';', t) else t end as regString
   from texts
 )"""
@@ -120,10 +122,14 @@ crossed as (
     on e.regimen_cui is not distinct from s.regimen_cui and e.variant is not distinct from s.variant
     and e.condition is not distinct from s.condition
 )"""
-FULL = CROSS + "," + short_sql("crossed", "shorted") + """,
+# Short strings of the distinct strings, then of the rows.
+FULL = STRINGS + "," + short_sql("strings", "shorted") + """,
 full_table as (
-  select metaCondition, condition, context, regimen as regName, variant, regimen_cui as regCode, component,
-    regString, shortString from shorted
+  select e.metaCondition, e.condition, e.context, e.regimen as regName, e.variant, e.regimen_cui as regCode, e.component,
+    s.regString, s.shortString
+  from expanded e join shorted s
+    on e.regimen_cui is not distinct from s.regimen_cui and e.variant is not distinct from s.variant
+    and e.condition is not distinct from s.condition
 )"""
 
 # White space and word characters, as in the Spark expressions.
@@ -153,37 +159,42 @@ def words_sql(x: str) -> str:
 
 
 def pairs_sql(queries: str, corpus: str, threshold: float = 0.8, name: str = "pairs") -> str:
-    """CTEs up to `name`(q, d, sim): cosine of every pair sharing a gram, no pruning. Inputs are (t)."""
+    """CTEs up to `name`(q, d, sim): cosine of every pair sharing a gram, no pruning. Inputs are (t).
+
+    Texts and grams are numbered first, so that only numbers are joined and grouped.
+    """
     def grams(source: str) -> str:
         return f"""
-      select t, gram, count(*)::double as tf from (
-        select t, unnest(list_concat([substr(w, i, 2) for i in range(1, length(w))],
+      select id, gram, count(*)::double as tf from (
+        select id, unnest(list_concat([substr(w, i, 2) for i in range(1, length(w))],
           [substr(w, i, 3) for i in range(1, length(w) - 1)])) as gram
-        from (select t, ' ' || unnest({words_sql('lower(t)')}) || ' ' as w from {source})
+        from (select id, ' ' || unnest({words_sql('lower(t)')}) || ' ' as w from {source})
       ) group by all"""
 
     return f"""
-{name}_dg as materialized ({grams(corpus)}),
-{name}_qg as materialized ({grams(queries)}),
+{name}_d as materialized (select t, row_number() over ()::integer as id from {corpus}),
+{name}_q as materialized (select t, row_number() over ()::integer as id from {queries}),
+{name}_dg as materialized ({grams(f"{name}_d")}),
+{name}_qg as materialized ({grams(f"{name}_q")}),
 {name}_n as (select count(*)::double as n from {corpus}),
-{name}_df as (select gram, count(*)::double as df from {name}_dg group by gram),
+{name}_df as materialized (select gram, row_number() over ()::integer as g, count(*)::double as df from {name}_dg group by gram),
 {name}_dw as materialized (
-  select t, gram, tf, tf * (ln((n + 2) / (df + 2)) + 1) as u, tf * (ln((n + 2) / (df + 1)) + 1) as b
+  select id, g, tf * (ln((n + 2) / (df + 2)) + 1) as u, tf * (ln((n + 2) / (df + 1)) + 1) as b
   from {name}_dg join {name}_df using (gram), {name}_n
 ),
 {name}_qw as materialized (
-  select t, gram, tf * (ln((n + 2) / (coalesce(df, 0) + 2)) + 1) as u
+  select id, g, tf * (ln((n + 2) / (coalesce(df, 0) + 2)) + 1) as u
   from {name}_qg left join {name}_df using (gram), {name}_n
 ),
-{name}_qn as (select t, sum(u * u) as total from {name}_qw group by t),
-{name}_dn as (select t, sum(b * b) as total from {name}_dw group by t),
+{name}_qn as (select id, sum(u * u) as total from {name}_qw group by id),
+{name}_dn as (select id, sum(b * b) as total from {name}_dw group by id),
 {name}_sums as (
-  select q.t as q, d.t as d, sum(q.u * d.u) as dot, sum(d.b * d.b - d.u * d.u) as less
-  from {name}_qw q join {name}_dw d using (gram) group by 1, 2
+  select q.id as q, d.id as d, sum(q.u * d.u) as dot, sum(d.b * d.b - d.u * d.u) as less
+  from {name}_qw q join {name}_dw d using (g) group by 1, 2
 ),
-{name} as (
-  select q, d, dot / sqrt(a.total * (b.total - less)) as sim
-  from {name}_sums join {name}_qn a on q = a.t join {name}_dn b on d = b.t
+{name} as materialized (
+  select x.t as q, y.t as d, dot / sqrt(a.total * (b.total - less)) as sim
+  from {name}_sums join {name}_qn a on q = a.id join {name}_dn b on d = b.id join {name}_q x on x.id = q join {name}_d y on y.id = d
   where dot / sqrt(a.total * (b.total - less)) > {threshold}
 )"""
 
@@ -192,17 +203,7 @@ def correct_sql(x: str) -> str:
     return f"case {x} when 'palictaxel' then 'paclitaxel' when 'alfa' then 'alpha' else {x} end"
 
 
-# Units and words that are no terms.
-SKIP = ", ".join(
-    f"'{w}'" for w in (
-        "aromatase inhibitor", "surgery", "iodine", "ros1", "and", "or", "with", "egfr tki", "one", "other",
-        "inhibitor", "alk", "resection", "chemotherapy", "radiotherapy", "platinum", "regimen", "therapy",
-        "not", "applicable", "surgical castration", "androgen receptor inhibitor", "steroids",
-        "antiestrogen", "anticoagulation", "contraindication to cisplatin", "cisplatin-ineligible",
-        "1+ including auto hsct unless ineligible", "autologous hsct", "immunomodulator",
-        "anti-cd38 antibody",
-    )
-)
+SKIP = ", ".join(f"'{w}'" for w in SKIP_WORDS)
 
 VOCABULARY = f"vocabulary as (select distinct unnest({units_sql('text')}) as t from benchmark)"
 KNOWN_WORDS = f"known_words as (select distinct unnest({words_sql('lower(text)')}) as t from benchmark)"
@@ -450,8 +451,8 @@ ORACLES = {
     "rtrim(shortString, ';') as naiveString from out_t",
     "condition_imputation": f"with {SCHED},{IMPUTED} select regimen_cui, variant, condition, component, allDays, context from imputed",
     "expanded_groups": f"with {SCHED},{EXPANDED} select * from expanded",
-    "schedule_cross": f"with {CROSS} select * from crossed",
-    "full_sorted": f"with {FULL} select * from full_table",
+    "schedule_cross": f"with {CROSS} select * replace (md5(regString) as regString) from crossed",
+    "full_sorted": f"with {FULL} select * replace (md5(regString) as regString, md5(shortString) as shortString) from full_table",
     "first_per_key": f"""with {FULL} select * from full_table qualify row_number() over (
         partition by shortString order by condition asc nulls last, context desc nulls last,
         metaCondition desc nulls last, regName desc nulls last, variant desc nulls last, regCode desc nulls last,
@@ -585,3 +586,15 @@ ORACLES |= {
         union all select 'not_empty', count(*) > 0 from sched
         union all select 'condition_everywhere', count(condition) = count(*) from sched""",
 }
+
+ORACLES |= {
+    "missing_days": f"with {SCHED} select * from sched where coalesce(allDays, '') = ''",
+    "match_counts": f"""with {EXTRACT}
+        select hvc_col, count(*) as matches, count(distinct term) as terms, count(distinct doc_id) as rows from matches group by 1""",
+    "explode_multiplicity": f"""with {EXTRACT},
+        copies as (select doc_id, term, unnest(range(occurrences)) as copy from matches),
+        every as (
+          select doc_id, lang as component, source as study from documents
+          union all select d.doc_id, c.term, d.source from documents d join copies c using (doc_id))
+        select doc_id, component, study, count(*) as copies from every group by all""",
+}

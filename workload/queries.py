@@ -39,7 +39,9 @@ def expanded_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def schedule_cross(spark: SparkSession, folder: str) -> DataFrame:
-    return schedule.process_schedules(tables.sched(spark, folder))
+    """The strings as digests; ``schedule_strings`` compares them as they are."""
+    rows = schedule.process_schedules(tables.sched(spark, folder))
+    return rows.withColumn("regString", F.md5(F.col("regString").cast("binary")))
 
 
 def final_table(rows: DataFrame) -> DataFrame:
@@ -47,7 +49,9 @@ def final_table(rows: DataFrame) -> DataFrame:
 
 
 def full_sorted(spark: SparkSession, folder: str) -> DataFrame:
-    return shape.sort_output(final_table(tables.sched(spark, folder)))
+    """The strings as digests; ``first_per_key`` and ``short_strings`` compare them as they are."""
+    rows = shape.sort_output(final_table(tables.sched(spark, folder)))
+    return rows.withColumns({c: F.md5(F.col(c).cast("binary")) for c in ("regString", "shortString")})
 
 
 def first_per_key(spark: SparkSession, folder: str) -> DataFrame:
@@ -58,6 +62,10 @@ def group_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return schedule.group_metrics(tables.sched(spark, folder))
 
 
+def missing_days(spark: SparkSession, folder: str) -> DataFrame:
+    return schedule.missing_days(tables.sched(spark, folder))
+
+
 def parse_cycle(spark: SparkSession, folder: str) -> DataFrame:
     parsed = tables.cycle_texts(spark, folder).withColumn("parts", cycle_parts(F.col("cycle_text")))
     return parsed.select("p_partkey", "cycle_text", "parts.cycle_days", "parts.cycle_unit")
@@ -180,6 +188,18 @@ def explode_matches(spark: SparkSession, folder: str) -> DataFrame:
     return exploded.select("doc_id", "component", "study", F.length("note").alias("n_chars"))
 
 
+def match_counts(spark: SparkSession, folder: str) -> DataFrame:
+    matches, _ = _extracted(spark, folder)
+    return matching.match_counts(matches)
+
+
+def explode_multiplicity(spark: SparkSession, folder: str) -> DataFrame:
+    rows = tables.hidden(spark, folder)
+    matches, _ = _extracted(spark, folder)
+    exploded = matching.explode_matches(rows, "doc_id", matches, keep_multiplicity=True)
+    return exploded.groupBy("doc_id", "component", "study").agg(F.count(F.lit(1)).alias("copies"))
+
+
 def _part_words(spark: SparkSession, folder: str) -> DataFrame:
     return tables.table(spark, folder, "part").select(F.explode(T.split_words(F.col("p_name"))).alias("term")).distinct()
 
@@ -290,10 +310,10 @@ def expectations(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        schedule_strings, short_strings, condition_imputation, expanded_groups, schedule_cross, group_metrics,
+        schedule_strings, short_strings, condition_imputation, expanded_groups, schedule_cross, missing_days, group_metrics,
         parse_cycle, parse_days, clean_terms, split_units, corrections, left_merge, enrich_fallback,
         merged_table, blacklist_anti, filled_columns, fuzzy_tfidf, fuzzy_tfidf_scores, word_fallback,
-        contains_fanout, extract_matches, match_audit, explode_matches, edit_distance_match,
+        contains_fanout, extract_matches, match_audit, match_counts, explode_matches, explode_multiplicity, edit_distance_match,
         edit_distance_pairs, column_similarity, full_sorted, first_per_key, ref_groups_completed,
         valid_items_completed, normalised_names, shared_names, shared_rows, match_status, match_summary,
         exact_counters, report_lines, expectations,
