@@ -15,8 +15,9 @@ CYCLE = """case when l_linenumber = 7 then 'Full cycle' when l_linestatus = 'O'
 
 SCHED = f"""{LINES},
 sched as (
-  select cast(o_custkey as varchar) as regimen_cui, nullif(l_returnflag, 'N') as variant, p_name as component,
-    {DAYS} as allDays, {CYCLE} as cyclesigs, nullif(o_orderpriority, '4-NOT SPECIFIED') as condition,
+  select case when o_custkey % 50 <> 0 then cast(o_custkey as varchar) end as regimen_cui,
+    nullif(l_returnflag, 'N') as variant, p_name as component,
+    case when l_quantity = 13 then '' when l_partkey % 41 <> 0 then {DAYS} end as allDays, {CYCLE} as cyclesigs, nullif(o_orderpriority, '4-NOT SPECIFIED') as condition,
     o_orderstatus as context, l_linestatus as study, concat(p_type, ' and ', p_brand) as regimen,
     'all' as metaCondition
   from lines

@@ -35,12 +35,13 @@ def cycle_text() -> F.Column:
 
 
 def sched(spark: SparkSession, folder: str) -> DataFrame:
-    """Merged schedule rows: a customer's lines as one regimen."""
+    """Merged schedule rows: a customer's lines as one regimen; some lack the regimen, its variant or the days."""
+    days = F.when(F.col("l_quantity") == 13, F.lit("")).when(F.col("l_partkey") % 41 != 0, day_text())
     return lines(spark, folder).select(
-        F.col("o_custkey").cast("string").alias("regimen_cui"),
+        F.when(F.col("o_custkey") % 50 != 0, F.col("o_custkey").cast("string")).alias("regimen_cui"),
         F.nullif(F.col("l_returnflag"), F.lit("N")).alias("variant"),
         F.col("p_name").alias("component"),
-        day_text().alias("allDays"),
+        days.alias("allDays"),
         cycle_text().alias("cyclesigs"),
         F.nullif(F.col("o_orderpriority"), F.lit("4-NOT SPECIFIED")).alias("condition"),
         F.col("o_orderstatus").alias("context"),
