@@ -4,7 +4,7 @@ import tempfile
 
 import pytest
 
-from cadenza.operators import cleaning, reference
+from cadenza.operators import cleaning, reference, shape
 from cadenza.plans import full_run
 from cadenza.sources import files, sinks
 
@@ -49,9 +49,76 @@ def test_ragged(spark, folder):
 
 
 def test_round_trip(spark, folder):
-    frame = spark.createDataFrame([("a\"b", None), ("c,d", "é")], "x string, y string")
-    sinks.write_tsv(frame, folder + "/t.tsv")
-    assert sorted(map(tuple, files.read_tsv(spark, folder + "/t.tsv").collect())) == [("a\"b", None), ("c,d", "é")]
+    rows = [("a\"b", None), ("c,d", "é"), ("e\nf", "x"), ("g\th", "\"i\"\n\nj"), ("k", "NA")]
+    sinks.write_tsv(spark.createDataFrame(rows, "x string, y string"), folder + "/t.tsv")
+    assert sorted(map(tuple, files.read_tsv(spark, folder + "/t.tsv").collect())) == rows
+
+
+def test_encoding_is_told_by_bytes(spark, folder):
+    # The replacement character is a character like any other in valid UTF-8.
+    utf = put(folder, "a.csv", "name,n\né \ufffd,1\n")
+    assert files.load_encoded(spark, utf).first().name == "é \ufffd"
+    latin = put(folder, "b.csv", "né,n\nx,1\n", "latin-1")
+    assert files.load_encoded(spark, latin).columns == ["né", "n"]
+
+
+def test_texts_for_missing_values(spark):
+    rows = spark.createDataFrame([("NA", "NA", "n/a"), ("x", "#N/A", "null"), ("NULL", "s", "Nausea")], "component string, study string, condition string")
+    got = cleaning.clean_merge_side(rows).collect()
+    assert [tuple(r) for r in got] == [(None, "nan", None), ("x", "nan", None), (None, "s", "Nausea")]
+
+
+def test_ids_of_any_form(spark):
+    known = spark.createDataFrame([("100",), ("250.0",), ("1e3",), ("9000000000000000000123",), ("-5",), ("a / b",), (None,), ("+7",)], "i string")
+
+    def greatest(*ids):
+        return str(known.filter(known.i.isin(list(ids))).select(reference.largest_id(known.filter(known.i.isin(list(ids))), "i")).first()[0])
+
+    assert greatest("100", "250.0") == "250" and greatest("100", "1e3", "-5") == "1000" and greatest("+7", "a / b") == "7"
+    assert greatest("100", "9000000000000000000123") == "9000000000000000000123"
+    assert greatest("a / b", "-5") == "-5" and greatest("a / b") == "0"
+
+
+def parts(folder, read):
+    """Lines of the part files in the order of their names."""
+    names = sorted(n for n in os.listdir(folder) if n.startswith("part-"))
+    return [read(os.path.join(folder, n)) for n in names]
+
+
+def test_order_within_and_across_files(spark, folder):
+    rows = [(f"s{i % 7}" if i % 3 else "hot", [None, "c1", "c2"][i % 3], [None, "x", "y", "z"][i % 4], f"r{i}") for i in range(4000)]
+    frame = spark.createDataFrame(rows, "shortString string, condition string, context string, regCode string").selectExpr(
+        "*", "'v' AS variant", "'d' AS component", "'n' AS regName", "'t' AS regString"
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shape.sort_output(frame).write.json(folder + "/sorted")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files_ = parts(folder + "/sorted", lambda p: [json.loads(x) for x in open(p, encoding="utf-8")])
+    assert len(files_) >= 3
+
+    def down(text):
+        # Downwards, missing ones last.
+        return (text is None, [-ord(c) for c in text or ""])
+
+    got = [(r["shortString"], down(r.get("condition")), down(r.get("context")), r["regCode"]) for f in files_ for r in f]
+    assert got == sorted(got) and len(got) == 4000
+
+
+def test_report_is_in_reading_order(spark, folder):
+    rows = [(1 + i % 2, f"R{i % 5}", i % 11, i % 3, None if i % 4 else "v", i % 2, f"w{i % 6}", f"line {i}") for i in range(3000)]
+    lines = spark.createDataFrame(rows, "priority int, regimen string, part int, place long, variant string, step int, with_text string, line string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.write_report(lines, folder + "/report")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files_ = parts(folder + "/report", lambda p: open(p, encoding="utf-8").read().splitlines())
+    assert len(files_) >= 3
+    by_line = {r[-1]: r for r in rows}
+    got = [by_line[x] for f in files_ for x in f]
+    assert got == sorted(rows, key=lambda r: (*r[:4], r[4] is None, r[4] or "", r[5], [-ord(c) for c in r[6]], r[7]))
 
 
 def test_blacklist_and_checks(spark, folder):
@@ -79,7 +146,7 @@ def test_full_run(spark, folder):
     ]) + "\n")
     put(folder, "in/indications.csv", "\n".join([
         "component,study,condition,context,with,regimen_cui,variant,allDays,date_added_y",
-        "thalidomide,S1,Myeloma,ctx,palictaxel and surgery,1,v1,\"1,8\",2020",
+        "thalidomide,S1,Myeloma,\"ctx\nof two lines\",palictaxel and surgery,1,v1,\"1,8\",2020",
         "newdrug,,Lung é,ctx,,2,v1,1,2020",
         "cisplatin,other,Ovary,ctx,,3,v1,1,2020",
     ]) + "\n", "latin-1")
@@ -99,6 +166,9 @@ def test_full_run(spark, folder):
         ("Third", "Ovary", "cisplatin", "21.cisplatin;21.cisplatin;"),
     }
     assert files.read_tsv(spark, out + "/regimens.tsv").count() == 3
+    assert {r.context for r in files.read_tsv(spark, out + "/regimens_full.tsv").collect()} == {"ctx\nof two lines", "ctx", None}
+    assert [tuple(r) for r in spark.read.parquet(out + "/_stages/match_counts").collect()] == [("with", 1, 1, 1)]
+    assert spark.read.parquet(out + "/_stages/missing_days").count() == 0
     assert {r.Var1 for r in files.read_tsv(spark, out + "/regimengroups.tsv").collect()} == {"Thal and Dex", "Other", "Third"}
     drugs = {r.name: r.concept_id for r in files.read_tsv(spark, out + "/validdrugs.tsv").collect()}
     assert drugs.keys() == {"Thalidomide", "Newdrug", "Cisplatin", "Paclitaxel"}
