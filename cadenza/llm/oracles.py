@@ -17,10 +17,10 @@ words AS (
 
 ORACLES["op2_ngram_join"] = f"""
 WITH RECURSIVE {WORDS},
-shingles AS (
+shingles AS MATERIALIZED (
     SELECT doc_id, unnest(list_distinct(
         CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-             ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END)) AS s
+             ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s
     FROM words
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
@@ -45,9 +45,9 @@ JOIN (SELECT id, min(other) AS component_id FROM reach GROUP BY id) r ON r.id =
 
 # Distinct runs of five words per row of a table.
 FIVES = """
-{name} AS (
+{name} AS MATERIALIZED (
     SELECT {key}, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+        ELSE list_transform(range(1, len(w) - 3), lambda i: concat_ws(' ', w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4])) END) AS s
     FROM (SELECT {key}, list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM {table})
 )"""
 
@@ -68,12 +68,14 @@ WHERE 10 * n_shared >= 8 * len(s)
 def _secret_spans(number: int, rule) -> str:
     """Spans of a rule per row: the lengths of what lies between matches and of the matches, added up."""
     pattern = rule.pattern.replace("'", "''")
+    # Only rows with a match that counts, where that can be told in advance.
+    telling = pattern if rule.group or rule.least == 1 else pattern[:-1] + f"{{{rule.least - pattern.rindex('[')},}}"
     return f"""
     SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind,
         unnest(list_transform(range(1, len(m) + 1), lambda i: list_sum(list_transform(b[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))) AS s,
         unnest(list_transform(m, lambda x: length(x))) AS n, unnest(list_transform(g, lambda x: length(x))) AS judged, {rule.least} AS least
     FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS m, regexp_extract_all(text, '{pattern}', {rule.group}) AS g,
-          string_split_regex(text, '{pattern}') AS b FROM documents)"""
+          string_split_regex(text, '{pattern}') AS b FROM documents WHERE regexp_matches(text, '{telling}'))"""
 
 
 ORACLES["op3_secret_scan"] = f"""
