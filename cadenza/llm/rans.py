@@ -29,9 +29,9 @@ from cadenza.llm.tokens import worker_encoder
 U = np.uint64
 SCALE_BITS = 20
 LOW = U(1 << 31)
-LANES = 1024
+LANES = 2048
 # A block is closed when it holds as many ids; a document is never split.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 19
 CHECKPOINT_ROWS = 128
 
 
@@ -104,8 +104,8 @@ def encode_block(ids: np.ndarray, table: Table) -> Block:
         full = x >= fr << U(63 - SCALE_BITS)
         words[row] = x[full].astype(np.uint32)
         x = np.where(full, x >> U(32), x)
-        q, r = np.divmod(x, fr)
-        states[: len(fr)] = (q << U(SCALE_BITS)) + r + begin[own]
+        q = x // fr
+        states[: len(fr)] = (q << U(SCALE_BITS)) + (x - q * fr) + begin[own]
         if row % CHECKPOINT_ROWS == 0:
             checkpoints.append(states.copy())
     starts = np.concatenate([[0], np.cumsum([len(w) for w in words])])[: max(rows, 1)][::CHECKPOINT_ROWS]

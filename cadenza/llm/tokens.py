@@ -12,51 +12,95 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
-# Pieces a worker process remembers; later ones are encoded anew, which costs time only.
-REMEMBERED = 400_000
+# Pieces and parts of pieces a worker process remembers; later ones are encoded anew, which costs time only.
+REMEMBERED = 300_000
+PARTS_REMEMBERED = 150_000
 LONGEST_REMEMBERED = 40
 # Characters that Python takes for white space and the library does not.
 NO_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
+# In a piece of these characters the tokenizer's pattern sees runs of letters, single digits and runs of others:
+# ASCII without apostrophe and <, and Latin letters, each of which is one letter in lower case, too.
+SIMPLE = re.compile(r"[!-&(-;=-~À-ÖØ-öø-įı-ž]+")
+PARTS = re.compile(r"[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9]+")
+LETTERS = re.compile(r"[a-z]+")
+# Words that tell whether the library's model alone gives what the whole tokenizer gives for words of a-z.
+PROBES = ("a", "the", "reading", "zqxjkv", "internationalisation", "mnbvcxzlkjhgfdsapoiuytrewq")
 _workers: dict[str, PieceEncoder] = {}
 
 
+class Numbers(dict):
+    """Numbers texts as they come; ``new`` lists those numbered since it was last emptied."""
+
+    def __init__(self) -> None:
+        self.new: list[str] = []
+
+    def __missing__(self, text: str) -> int:
+        number = self[text] = len(self)
+        self.new.append(text)
+        return number
+
+
 class PieceEncoder:
     """Encodes texts piece by piece."""
 
     def __init__(self, tokenizer_json: str) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.known: dict[str, int] = {}
-        self.flat = np.zeros(1 << 20, dtype=np.uint32)
-        self.starts = np.zeros(REMEMBERED + 1, dtype=np.int64)
+        self.numbers = Numbers()
+        self.parts: dict[str, list[int]] = {}
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.starts = np.zeros(1, dtype=np.int64)
+        self.model = self.tokenizer.model
+        self.plain = all(self._by_model(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in PROBES)
+
+    def _by_model(self, word: str) -> list[int]:
+        """Ids of a word of a-z, which neither the normaliser nor the pre-tokenizer changes."""
+        return [t.id for t in self.model.tokenize(word)]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens at its ends."""
-        pieces = [self._pieces(t) for t in texts]
-        new = sorted({p for piece in pieces for p in piece if p not in self.known})
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        kept = [(p, i) for p, i in zip(new, ids, strict=True) if len(p) <= LONGEST_REMEMBERED][: REMEMBERED - len(self.known)]
-        self._remember(kept)
-        known, flat, starts = self.known, self.flat, self.starts
-        rest = {p: i for p, i in zip(new, ids, strict=True) if p not in known}
-        if rest:
-            # What is not remembered lies behind what is, for these texts only.
-            begin = int(starts[len(known)])
-            lengths = np.fromiter(map(len, rest.values()), dtype=np.int64, count=len(rest))
-            more = np.fromiter((i for x in rest.values() for i in x), dtype=np.uint32, count=int(lengths.sum()))
-            flat = np.concatenate([flat[:begin], more])
-            starts = np.concatenate([starts[: len(known) + 1], begin + np.cumsum(lengths)])
-            places = {p: len(known) + k for k, p in enumerate(rest)}
-        out = []
-        for piece in pieces:
-            if rest:
-                index = np.fromiter((places[p] if p in places else known[p] for p in piece), dtype=np.int64, count=len(piece))
-            else:
-                index = np.fromiter(map(known.__getitem__, piece), dtype=np.int64, count=len(piece))
-            begins = starts[index]
-            lengths = starts[index + 1] - begins
-            total = int(lengths.sum())
-            out.append(flat[np.repeat(begins - (np.cumsum(lengths) - lengths), lengths) + np.arange(total)])
+        number = self.numbers.__getitem__
+        indexes = []
+        for text in texts:
+            pieces = self._pieces(text)
+            indexes.append(np.fromiter(map(number, pieces), dtype=np.int64, count=len(pieces)))
+        new, self.numbers.new = self.numbers.new, []
+        known = len(self.numbers) - len(new)
+        ids = self._ids(new)
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lengths.sum()))])
+        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        index = np.concatenate([np.zeros(0, np.int64), *indexes])
+        begins = starts[index]
+        ends = np.cumsum(starts[index + 1] - begins)
+        sizes = np.diff(ends, prepend=0)
+        every = flat[np.repeat(begins - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        last = np.cumsum([len(i) for i in indexes])
+        out = np.split(every, np.concatenate([[0], ends])[last[:-1]]) if indexes else []
+        # What comes first is remembered; numbers stay without gaps.
+        kept = 0
+        while kept < len(new) and known + kept < REMEMBERED and len(new[kept]) <= LONGEST_REMEMBERED:
+            kept += 1
+        for piece in new[kept:]:
+            del self.numbers[piece]
+        self.starts = starts[: known + kept + 1]
+        self.flat = flat[: self.starts[-1]]
+        return out
+
+    def _ids(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces, put together from their parts where the pattern cuts them anyway."""
+        cut = [PARTS.findall(p.lower()) if SIMPLE.fullmatch(p) else [p] for p in pieces]
+        parts = self.parts
+        unknown = list({x for c in cut for x in c if x not in parts})
+        words = [x for x in unknown if self.plain and LETTERS.fullmatch(x)]
+        parts.update(zip(words, map(self._by_model, words), strict=True))
+        others = [x for x in unknown if x not in parts]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
+        parts.update(zip(others, found, strict=True))
+        out = [parts[c[0]] if len(c) == 1 else [i for x in c for i in parts[x]] for c in cut]
+        if len(parts) > PARTS_REMEMBERED:
+            for x in unknown:
+                del parts[x]
         return out
 
     def _pieces(self, text: str) -> list[str]:
@@ -65,18 +109,6 @@ class PieceEncoder:
             text = text.lower()
         return [p for p in SPACE.split(text) if p] if NO_SPACE.search(text) else text.split()
 
-    def _remember(self, kept: list[tuple[str, list[int]]]) -> None:
-        first = len(self.known)
-        lengths = np.fromiter((len(i) for _, i in kept), dtype=np.int64, count=len(kept))
-        begin = int(self.starts[first])
-        self.starts[first + 1 : first + 1 + len(kept)] = begin + np.cumsum(lengths)
-        end = begin + int(lengths.sum())
-        while len(self.flat) < end:
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        self.flat[begin:end] = np.fromiter((i for _, x in kept for i in x), dtype=np.uint32, count=end - begin)
-        for k, (p, _) in enumerate(kept):
-            self.known[p] = first + k
-
 
 def worker_encoder(tokenizer_json: str) -> PieceEncoder:
     """The encoder of this worker process, which keeps what it remembers from task to task."""
