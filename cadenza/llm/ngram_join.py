@@ -26,12 +26,14 @@ from cadenza.llm.common import may_be_among, per_row, plain, stored, text_slices
 from cadenza.llm.components import components
 from cadenza.llm.words import U, mix, shingle_sets
 
+# Longs of the brief bitmap, which all documents have in one width and tiles are joined by.
+BRIEF_LONGS = 8
 # Frequent shingles are put last in the order. That changes the work, never the result: shingles are
 # counted in pieces of so many, those seen at least so often in a piece are added up, and so
 # many of the most frequent ones are kept (the size of the broadcast).
 PIECE = 1 << 22
 PIECE_COUNT = 3
-FREQUENT = 1 << 17
+FREQUENT = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -86,13 +88,20 @@ def frequent_shingles(docs: DataFrame, rule: Similarity) -> tuple[np.ndarray, np
         yield counted()
 
     counts = docs.select("text").mapInPandas(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.col("n").desc(), "h").limit(FREQUENT).toPandas()
-    order = np.argsort(top["h"].to_numpy(np.int64).view(np.uint64), kind="stable")
-    return top["h"].to_numpy(np.int64).view(np.uint64)[order], top["n"].to_numpy(np.int64)[order]
+    top = counts.select("h", F.least("n", F.lit(2**31 - 1)).cast("int").alias("n")).orderBy(F.col("n").desc(), "h").limit(FREQUENT).toArrow()
+    hashes, often = top["h"].to_numpy().view(np.uint64), top["n"].to_numpy()
+    order = np.argsort(hashes, kind="stable")
+    return hashes[order], often[order]
+
+
+def bitmap(shingles: np.ndarray, width: int) -> np.ndarray:
+    """Bit ``i`` is the parity of the number of shingles whose last bits are ``i``; as longs."""
+    parity = np.bincount((shingles & U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
 def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``id, n, d1, d2, bits, tiles`` per document: set size, a 128-bit digest of the set, bitmap and tile keys."""
+    """``id, n, d1, d2, bits, brief, tiles`` per document: set size, a 128-bit digest of the set, bitmaps, tile keys."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -102,9 +111,8 @@ def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.n
         def one(own: np.ndarray) -> tuple:
             size = len(own)
             if not size:
-                return 0, 0, 0, [], []
-            width = max(64, 1 << (size - 1).bit_length())
-            parity = np.bincount((own & U(width - 1)).astype(np.int64), minlength=width) & 1
+                return 0, 0, 0, [], [], []
+            bits, brief = (bitmap(own, width) for width in (max(64, 1 << (size - 1).bit_length()), 64 * BRIEF_LONGS))
             first = own[: rule.prefix(size)]
             if len(hashes):
                 at = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
@@ -116,14 +124,14 @@ def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.n
             bands = [band] if rule.den * size // rule.num <= uppers[band] else [band, band + 1]
             keys = np.concatenate([mix(first ^ mix(np.full(1, k + 1, dtype=np.uint64))) for k in bands])
             digest = [int(mix(h).sum(dtype=np.uint64).view(np.int64)) for h in (own, own ^ U(0x5851F42D4C957F2D))]
-            return size, *digest, np.packbits(parity.astype(np.uint8)).view(np.int64), keys.view(np.int64)
+            return size, *digest, bits, brief, keys.view(np.int64)
 
         def profile(part: pd.DataFrame) -> pd.DataFrame:
-            return pd.DataFrame([one(own) for own in shingle_sets(part["text"].tolist(), rule.n)], columns=["n", "d1", "d2", "bits", "tiles"])
+            return pd.DataFrame([one(own) for own in shingle_sets(part["text"].tolist(), rule.n)], columns=["n", "d1", "d2", "bits", "brief", "tiles"])
 
         return profile
 
-    found = per_row({"text": F.col("text")}, setup, "n long, d1 long, d2 long, bits array<long>, tiles array<long>")
+    found = per_row({"text": F.col("text")}, setup, "n long, d1 long, d2 long, bits array<long>, brief array<long>, tiles array<long>")
     return docs.select("id", found.alias("found")).select("id", "found.*")
 
 
@@ -144,6 +152,14 @@ def differing_bits(a: Column, b: Column) -> Column:
     return F.aggregate(each, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
 
 
+def differing_brief_bits(a: Column, b: Column) -> Column:
+    """Number of bits in which two brief bitmaps differ."""
+    total = F.lit(0)
+    for i in range(BRIEF_LONGS):
+        total = total + F.bit_count(a[i].bitwiseXOR(b[i]))
+    return total
+
+
 def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Similarity) -> DataFrame:
     """The pairs ``(a, b)`` of documents whose sets are similar: first by bitmap, then exactly."""
     sizes = members.select("id", "n", "bits")
@@ -187,7 +203,7 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     # One set, one representative.
     classes = stored(sets.groupBy("n", "d1", "d2").agg(F.min("id").alias("rep")), "classes")
     members = stored(
-        sets.select("id", "n", "d1", "d2", "bits").join(classes, ["n", "d1", "d2"]).select("id", "n", "bits", "rep"), "members"
+        sets.select("id", "n", "d1", "d2", "bits", "brief").join(classes, ["n", "d1", "d2"]).select("id", "n", "bits", "brief", "rep"), "members"
     )
     tiles = sets.select("id", F.explode("tiles").alias("tile"))
     shared = tiles.groupBy("tile").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
@@ -211,16 +227,18 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     found = components(links)
     # What is left: tiles with documents of different components.
     placed = stored(
-        members.select("id", "rep", "n").join(found.withColumnsRenamed({"id": "rep"}), "rep", "left")
-        .select("id", "rep", "n", F.coalesce("component", "rep").alias("component")), "placed",
+        members.select("id", "rep", "n", "brief").join(found.withColumnsRenamed({"id": "rep"}), "rep", "left")
+        .select("id", "rep", "n", "brief", F.coalesce("component", "rep").alias("component")), "placed",
     )
     spread = stored(tiled.select("tile", "id").join(placed.select("id", "rep", "component"), "id").select("tile", "rep", "component").distinct(), "spread")
     mixed = spread.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("tile")
-    sized = placed.filter("id = rep").select("rep", "n")
-    left = stored(spread.join(mixed, "tile").join(sized, "rep").select("tile", "rep", "component", "n"), "left")
-    right = left.withColumnsRenamed({"tile": "tile_b", "rep": "rep_b", "component": "component_b", "n": "n_b"})
+    sized = placed.filter("id = rep").select("rep", "n", "brief")
+    left = stored(spread.join(mixed, "tile").join(sized, "rep").select("tile", "rep", "component", "n", "brief"), "left")
+    right = left.withColumnsRenamed({"tile": "tile_b", "rep": "rep_b", "component": "component_b", "n": "n_b", "brief": "brief_b"})
     across = left.join(
-        right, (F.col("tile") == F.col("tile_b")) & (F.col("component") < F.col("component_b")) & rule.possible(F.col("n"), F.col("n_b"), F.lit(0))
+        right,
+        (F.col("tile") == F.col("tile_b")) & (F.col("component") < F.col("component_b"))
+        & rule.possible(F.col("n"), F.col("n_b"), differing_brief_bits(F.col("brief"), F.col("brief_b"))),
     ).select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
     untested = across.join(stars, ["a", "b"], "left_anti")
     more = stored(verified(untested, members, own, rule), "links")

@@ -68,8 +68,7 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("rule", [Similarity(3, 90, 100), Similarity(5, 8, 10), Similarity(2, 1, 2)])
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize(("rule", "seed"), [(Similarity(3, 90, 100), 1), (Similarity(5, 8, 10), 2), (Similarity(2, 1, 2), 3)])
 def test_components_equal_all_pairs(documents, rule, seed):
     rows = corpus(seed)
     found = ngram_join.join(documents(rows), rule)
