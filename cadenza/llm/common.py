@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Python workers take text in slices of about this many characters, whatever the Arrow batch holds.
-SLICE_CHARS = 2_000_000
+SLICE_CHARS = 1_000_000
 
 
 def importable(spark: SparkSession) -> None:
