@@ -33,7 +33,7 @@ def test_learns_languages(documents):
 def test_edge_rows(documents):
     net = langid.fit(documents(labelled()), per_language=60)
     rng = random.Random(4)
-    long = "aa" and text("aa", rng, 60_000)
+    long = text("aa", rng, 60_000)
     big = 2**62 + 1
     rows = [(None, "bra dun"), (big, None), (2, ""), (3, "12 34 !!"), (4, "x"), (5, long), (6, "é" * 255 + "bra"), (7, "same"), (7, "same")]
     got = langid.identify(documents(rows), net).collect()

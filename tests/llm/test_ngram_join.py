@@ -132,7 +132,7 @@ def test_bands_hold_all_partners():
 
 
 def test_word_hashes_depend_on_the_word_alone():
-    texts = ["One two ONE", "", " one\x0btwo\x1cx ", "ä Ä", None or "two"]
+    texts = ["One two ONE", "", " one\x0btwo\x1cx ", "ä Ä", "two"]
     hashes, firsts = hash_words(texts)
     words = [w for t in texts for w in t.encode().lower().split()]
     assert firsts.tolist() == [0, 3, 3, 5, 7, 8]
