@@ -1,7 +1,6 @@
 import random
 import re
 
-import pytest
 
 from cadenza.functions import schedule as S
 from cadenza.functions import text as T
