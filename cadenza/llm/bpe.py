@@ -20,12 +20,12 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import per_row, plain
+from cadenza.llm.common import per_row, plain, remembered
 from cadenza.llm.words import U, mix
 
 STEP = U(0x9E3779B97F4A7C15)
 # Pre-tokens a worker process remembers; later and longer ones are looked up anew, which costs time only.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 LONGEST_REMEMBERED = 64
 
 
@@ -207,14 +207,9 @@ class Encoder:
         return out
 
 
-_worker: list[Encoder] = []
-
-
 def worker_encoder(shared: Broadcast) -> Encoder:
     """The encoder of this worker process, which keeps what it remembers from task to task."""
-    if not _worker or _worker[0].vocabulary is not shared.value:
-        _worker[:] = [Encoder(shared.value)]
-    return _worker[0]
+    return remembered(("bpe", id(shared.value)), lambda: Encoder(shared.value))
 
 
 def token_ids(text: Column, vocabulary: Broadcast) -> Column:
@@ -227,7 +222,7 @@ def token_ids(text: Column, vocabulary: Broadcast) -> Column:
         encoder = worker_encoder(vocabulary)
         return lambda part: pd.DataFrame({"ids": encoder.encode(part["text"].tolist())})
 
-    return per_row({"text": text}, setup, "ids array<int>")["ids"]
+    return per_row({"text": text}, setup, "ids array<int>", remembers=True)["ids"]
 
 
 def decoded(ids: Column, vocabulary: Broadcast) -> Column:

@@ -92,16 +92,30 @@ def text_slices(frames: Iterator[pd.DataFrame], text: str = "text") -> Iterator[
             start = stop
 
 
+_remembered: dict[object, object] = {}
+
+
+def remembered(name: object, build: Callable[[], object]) -> object:
+    """What this worker process keeps from task to task: one thing at a time, built when it is not there."""
+    if name not in _remembered:
+        _remembered.clear()
+        _remembered[name] = build()
+    return _remembered[name]
+
+
 def per_row(
-    columns: dict[str, Column], setup: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], returns: str, text: str = "text"
+    columns: dict[str, Column], setup: Callable[[], Callable[[pd.DataFrame], pd.DataFrame]], returns: str, text: str = "text", remembers: bool = False
 ) -> Column:
     """A struct computed row by row in Python, without sending any other column there.
 
     ``setup`` runs once per task and returns a function from some rows of the columns, null texts
-    empty, to as many rows of the result.
+    empty, to as many rows of the result. Unless it ``remembers`` something itself, what the worker
+    process remembers of other operators is given up before.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        if not remembers:
+            _remembered.clear()
         work = setup()
         for part in text_slices(frames, text):
             yield work(part)

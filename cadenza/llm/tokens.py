@@ -12,6 +12,8 @@ import re
 import numpy as np
 from tokenizers import Tokenizer
 
+from cadenza.llm.common import remembered
+
 # Pieces and parts of pieces a worker process remembers; later ones are encoded anew, which costs time only.
 REMEMBERED = 300_000
 PARTS_REMEMBERED = 150_000
@@ -26,7 +28,6 @@ PARTS = re.compile(r"[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9]+")
 LETTERS = re.compile(r"[a-z]+")
 # Words that tell whether the library's model alone gives what the whole tokenizer gives for words of a-z.
 PROBES = ("a", "the", "reading", "zqxjkv", "internationalisation", "mnbvcxzlkjhgfdsapoiuytrewq")
-_workers: dict[str, PieceEncoder] = {}
 
 
 class Numbers(dict):
@@ -112,8 +113,4 @@ class PieceEncoder:
 
 def worker_encoder(tokenizer_json: str) -> PieceEncoder:
     """The encoder of this worker process, which keeps what it remembers from task to task."""
-    name = hashlib.sha256(tokenizer_json.encode()).hexdigest()
-    if name not in _workers:
-        _workers.clear()
-        _workers[name] = PieceEncoder(tokenizer_json)
-    return _workers[name]
+    return remembered(("tokens", hashlib.sha256(tokenizer_json.encode()).hexdigest()), lambda: PieceEncoder(tokenizer_json))
