@@ -18,7 +18,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8
 UNDETERMINED = "und"
 # Windows scored at once; bounds the memory of a task.
-BATCH_WINDOWS = 1024
+BATCH_WINDOWS = 512
 HAS_LETTER = re.compile(r"[^\W\d_]")
 
 

@@ -31,8 +31,8 @@ BRIEF_LONGS = 8
 # Frequent shingles are put last in the order. That changes the work, never the result: shingles are
 # counted in pieces of so many, those seen at least so often in a piece are added up, and so
 # many of the most frequent ones are kept (the size of the broadcast).
-PIECE = 1 << 22
-PIECE_COUNT = 3
+PIECE = 1 << 21
+PIECE_COUNT = 2
 FREQUENT = 1 << 20
 
 
