@@ -5,9 +5,10 @@ they share a shingle among the first ``n - ceil(t * n) + 1`` of each. So a docum
 per such shingle, named by the shingle and by a band of sizes (also the next band, if a partner may
 be there). Shingles that are frequent come last in the order, so tiles stay small.
 
-Of a tile's documents each is first compared with the one of smallest id only; most groups of copies
+``links`` joins every tile with itself and finds all links. ``join`` looks for components alone: of a
+tile's documents each is first compared with the one of smallest id only; most groups of copies
 are connected by that. Afterwards only tiles that still hold several components are joined with
-themselves, across components. A pair goes through two steps: a hashed bitmap (each bit the parity
+themselves, across components. In both a pair goes through two steps: a hashed bitmap (each bit the parity
 of the shingles that fall on it) bounds the overlap from above, since every differing bit needs a
 shingle of one side only; what passes is decided by the exact intersection of the sorted sets.
 """
@@ -100,7 +101,7 @@ def bitmap(shingles: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(parity.astype(np.uint8)).view(np.int64)
 
 
-def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.ndarray], keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """``id, n, d1, d2, bits, brief, tiles`` per document: set size, a 128-bit digest of the set, bitmaps, tile keys."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
@@ -132,7 +133,7 @@ def profiles(docs: DataFrame, rule: Similarity, frequent: tuple[np.ndarray, np.n
         return profile
 
     found = per_row({"text": F.col("text")}, setup, "n long, d1 long, d2 long, bits array<long>, brief array<long>, tiles array<long>")
-    return docs.select("id", found.alias("found")).select("id", "found.*")
+    return docs.select(*keep, found.alias("found")).select(*keep, "found.*")
 
 
 def differing_bits(a: Column, b: Column) -> Column:
@@ -185,12 +186,16 @@ def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Simila
                 linked.append(any(rule.similar(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)) for x in left for y in right))
             yield frame.loc[linked, ["a", "b"]]
 
-    return texts.mapInPandas(check, "a long, b long")
+    kind = pairs.schema["a"].dataType.simpleString()
+    return texts.mapInPandas(check, f"a {kind}, b {kind}")
 
 
 def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id`` of every row: set size and the smallest id reachable by links.
 
+    For components alone: links inside a component that is already found are not looked for;
+    ``links`` finds all of them.
+
     Null and empty texts have no shingles and are linked with nothing; their component is their
     own id. Rows that share an id are one document: a link of any of their texts is a link of
     the id, and each row is returned. Rows with a null id are returned with a null component.
@@ -251,6 +256,68 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     )
 
 
+def links(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """All links, as pairs of sets ``set_a, set_b``, and the rows' sets: ``key, set, n_shingles, component_id, n_links``.
+
+    Two documents are linked if they have one set or two sets of a pair (``set_a < set_b``, different
+    ones). ``n_links`` is the number of other ids that an id is linked with, ``component_id`` the
+    smallest id reachable. Rows are as in ``join``; without shingles or id their set and
+    ``n_links`` are null and 0. The pairs are as many as there are similar sets, in a group of
+    near copies up to the square of its size; equal texts add none.
+    """
+    whole = docs.select(plain(key).cast("long").alias("id"), plain(text).alias("text"))
+    rows = stored(
+        profiles(whole, rule, frequent_shingles(whole, rule), ("id", "text")).withColumn("set", F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.format_string("%d-%016x-%016x", "n", "d1", "d2"))), "profiles",
+    )
+    own = rows.filter("set IS NOT NULL")
+    # One text a set: its smallest.
+    sets = own.groupBy("set").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("bits").alias("bits"), F.min("brief").alias("brief"), F.min("tiles").alias("tiles"))
+    sets = stored(sets, "sets")
+    sided = sets.select(F.explode("tiles").alias("tile"), "set", "n", "brief")
+    other = sided.withColumnsRenamed({"tile": "tile_b", "set": "set_b", "n": "n_b", "brief": "brief_b"})
+    possible = sided.join(
+        other,
+        (F.col("tile") == F.col("tile_b")) & (F.col("set") < F.col("set_b"))
+        & rule.possible(F.col("n"), F.col("n_b"), differing_brief_bits(F.col("brief"), F.col("brief_b"))),
+    ).select(F.col("set").alias("a"), F.col("set_b").alias("b")).distinct()
+    possible = stored(possible, "possible")
+    ends = possible.select(F.col("a").alias("set")).unionByName(possible.select(F.col("b").alias("set")))
+    texts = may_be_among(own.select("set", "text"), "set", ends).groupBy("set").agg(F.min("text").alias("text"))
+    pairs = stored(verified(possible, sets.withColumnRenamed("set", "id"), texts.withColumnRenamed("set", "id"), rule), "pairs")
+
+    members = stored(own.select("id", "set").distinct(), "members")
+    near = stored(
+        pairs.select(F.col("a").alias("set"), F.col("b").alias("other")).unionByName(pairs.select(F.col("b").alias("set"), F.col("a").alias("other")))
+        .unionByName(sets.select("set", F.col("set").alias("other"))), "near",
+    )
+    # Ids of one set are counted by set; those of several are told apart, as they may be met in several ways.
+    several = members.groupBy("id").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").select("id")
+    multiple = stored(members.join(several, "id"), "multiple")
+    single = members.join(several, "id", "left_anti")
+    alone = single.groupBy("set").agg(F.count(F.lit(1)).alias("ids")).withColumnRenamed("set", "other")
+    met = multiple.select(F.col("id").alias("met"), F.col("set").alias("other"))
+    by_set = near.join(alone, "other").groupBy("set").agg(F.sum("ids").alias("ids")).join(
+        near.join(met, "other").select("set", "met").distinct().groupBy("set").agg(F.count(F.lit(1)).alias("met")), "set", "full"
+    ).select("set", (F.coalesce("ids", F.lit(0)) + F.coalesce("met", F.lit(0))).alias("n_links"))
+    reach = multiple.join(near, "set").select("id", "other").distinct()
+    by_id = reach.join(alone, "other").select("id", "ids").unionByName(
+        reach.join(met, "other").filter("id != met").select("id", "met").distinct().select("id", F.lit(1).cast("long").alias("ids"))
+    ).groupBy("id").agg(F.sum("ids").alias("n_links"))
+    counts = single.join(by_set, "set").select("id", (F.col("n_links") - 1).alias("n_links")).unionByName(by_id)
+
+    reps = sets.select("set", "rep")
+    edges = pairs.join(reps.withColumnsRenamed({"set": "a", "rep": "rep_a"}), "a").join(reps.withColumnsRenamed({"set": "b", "rep": "rep_b"}), "b").select(
+        F.col("rep_a").alias("a"), F.col("rep_b").alias("b")
+    )
+    same = members.join(reps, "set").filter("id != rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
+    found = components(edges.unionByName(same)).withColumnRenamed("id", "labelled")
+    counted = counts.withColumnRenamed("id", "counted")
+    out = rows.select("id", "set", "n").join(found, F.col("id") == F.col("labelled"), "left").join(counted, F.col("id") == F.col("counted"), "left")
+    return pairs.select(F.col("a").alias("set_a"), F.col("b").alias("set_b")), out.select(
+        F.col("id").alias(key), "set", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
+    )
+
+
 
 def one_of_each(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of the row that stays of every component: the one of smallest id.

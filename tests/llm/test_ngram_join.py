@@ -141,3 +141,23 @@ def test_word_hashes_depend_on_the_word_alone():
         assert by_word.setdefault(w, h) == h
     assert len(set(by_word.values())) == len(by_word)
     assert [len(s) for s in shingle_sets(["a b c d", "a b", "", "a a a a"], 3)] == [2, 1, 0, 1]
+
+
+def test_all_links_are_found(documents):
+    rule = Similarity(3, 90, 100)
+    base = [f"v{i}" for i in range(60)]
+    # Near copies of different texts, all linked with each other; exact copies; an id with several texts.
+    copies = [(2000 + i, " ".join([*base, f"end{i}"])) for i in range(12)]
+    rows = [*corpus(4), *copies, copies[3], (3000, copies[3][1]), (3001, "p q r s"), (3001, copies[5][1]), (3002, "p q r s"), (3003, None), (None, copies[0][1])]
+    pairs, found = ngram_join.links(documents(rows), rule)
+    found = found.collect()
+    assert [(r.doc_id, r.n_shingles, r.component_id) for r in sorted(found, key=lambda r: str((r.doc_id, r.n_shingles, r.component_id)))] == brute_force(rows, rule)
+    sets = [(i, shingles(t, 3)) for i, t in rows if i is not None and shingles(t, 3)]
+    similar = {(s, t) for _, s in sets for _, t in sets if 100 * len(s & t) >= 90 * len(s | t)}
+    linked = {}
+    for i, s in sets:
+        linked.setdefault(i, set()).update(j for j, t in sets if j != i and (s, t) in similar)
+    assert {r.doc_id: r.n_links for r in found} == {i: len(linked.get(i, ())) for i, _ in rows}
+    assert pairs.count() == sum(s != t for s, t in similar) // 2
+    names = {r.set for r in found if r.set}
+    assert len(names) == len({s for _, s in sets}) and {x for r in pairs.collect() for x in r} <= names
