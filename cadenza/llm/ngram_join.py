@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import may_be_among, per_row, plain, stored, text_slices
@@ -320,20 +320,30 @@ def links(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "t
 
 
 def one_of_each(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All columns of the row that stays of every component: the one of smallest id.
+    """All columns of the row that stays of every component of similar texts: the one of smallest id.
 
-    Of rows with one id the first by text stays. Rows with a null id, a null text or an empty one are
-    linked with nothing and stay.
+    Rows are judged by id and text: those with one id and different texts are different documents,
+    and those of one id in one component are ordered by a hash. Of rows with one id and one text one
+    stays, the first by its JSON. Rows with a null id, a null text or an empty one are linked
+    with nothing and stay. Id and text are told apart by 64 bits.
     """
-    found = stored(join(docs, rule, key, text), "components")
-    ids = found.select(plain(key).alias("id"), "component_id")
-    gone = ids.filter("component_id != id").select("id").distinct()
-    repeated = ids.filter("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
-    affected = stored(gone.withColumn("goes", F.lit(True)).unionByName(repeated.withColumn("goes", F.lit(False))).groupBy("id").agg(F.max("goes").alias("goes")), "affected")
+    rows = docs.select(
+        plain(key).cast("long").alias("id"), F.when(plain(key).isNotNull(), F.xxhash64(plain(key).cast("long"), plain(text))).alias("node"),
+        plain(text).alias("text"), F.struct(*[plain(c) for c in docs.columns]).alias("row"),
+    )
+    found = stored(join(rows.select("node", "text"), rule, "node", "text"), "components").filter("n_shingles > 0 AND node IS NOT NULL")
+    nodes = found.groupBy("node").agg(F.first("component_id").alias("component"), F.count(F.lit(1)).alias("times"))
+    several = found.groupBy("component_id").agg(F.count(F.lit(1)).alias("many")).filter("many > 1").select("component_id")
+    affected = stored(nodes.join(several, F.col("component") == F.col("component_id")).select("node", "component", "times"), "affected")
     # Only rows that may be affected are shuffled.
-    rows = docs.select(plain(key).cast("long").alias("id"), plain(text).alias("text"), F.struct(*[plain(c) for c in docs.columns]).alias("row"))
-    others = may_be_among(rows, "id", affected.select("id"), "left_anti")
-    judged = may_be_among(rows, "id", affected.select("id")).join(affected.withColumnRenamed("id", "affected"), F.col("id") == F.col("affected"), "left")
-    first = F.row_number().over(Window.partitionBy("id").orderBy("text"))
-    stay = judged.filter(~F.coalesce("goes", F.lit(False))).withColumn("first", first).filter("first = 1")
-    return others.select("row.*").unionByName(stay.select("row.*"))
+    others = may_be_among(rows, "node", affected.select("node"), "left_anti")
+    among = may_be_among(rows, "node", affected.select("node"))
+    owners = among.select("id", "node").distinct().join(affected, "node")
+    first = owners.groupBy("component").agg(F.min(F.struct("id", "node")).alias("first")).select("first.node")
+    stay = stored(first.join(affected, "node").select("node", "times"), "first")
+    gone = affected.join(stay.select("node"), "node", "left_anti").select(F.col("node").alias("gone"))
+    judged = among.join(gone, F.col("node") == F.col("gone"), "left_anti")
+    repeated = stay.filter("times > 1").select(F.col("node").alias("repeated"))
+    once = judged.join(repeated, F.col("node") == F.col("repeated"), "left_anti")
+    one = judged.join(repeated, F.col("node") == F.col("repeated")).groupBy("node").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    return others.select("row.*").unionByName(once.select("row.*")).unionByName(one.select("row.*"))

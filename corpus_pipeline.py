@@ -27,16 +27,18 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every component of near-duplicates, the one of smallest id."""
+    """One document of every component of near-duplicates, the one of smallest id; rows are judged by id and text."""
     importable(spark)
     return ngram_join.one_of_each(docs, NEAR)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
+    """Rows whose own text holds no benchmark item, whatever other rows of their id hold; a null text holds none."""
+    # Id and text are told apart by 64 bits.
+    own = F.xxhash64(plain("doc_id"), plain("text"))
+    found = decontaminate.contaminated(docs.select(own.alias("doc_id"), plain("text").alias("text")), table(spark, sf_dir, "benchmark"))
     leaks = stored(found.select(F.col("doc_id").alias("leaking")).distinct(), "leaks")
-    return docs.join(leaks, plain("doc_id").eqNullSafe(F.col("leaking")), "left_anti")
+    return docs.join(leaks, own == leaks["leaking"], "left_anti")
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

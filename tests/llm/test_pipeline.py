@@ -125,5 +125,21 @@ def test_stages_take_empty_tables_and_extra_columns(session, data):
             assert name == "encoding" or out.columns == docs.columns
 
 
+def test_filters_judge_rows_by_their_own_text(session, data):
+    folder, _, items = data
+    rng = random.Random(5)
+    texts = [prose(rng, "aa", 40) for _ in range(4)]
+    leak = prose(rng, "bb", 20) + " " + items[0][1]
+    rows = [
+        (1, texts[0]), (1, texts[1]), (1, None), (2, texts[1] + " end"), (3, leak), (3, texts[2]), (3, texts[2]), (None, leak), (None, texts[3]), (None, None), (4, None), (0, leak + " end"),
+    ]
+    docs = session.createDataFrame([(i, t, "aa", "s", k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    near = corpus_pipeline.near_duplicate_stage(session, docs, folder)
+    # Near copies: 1 and 3 (of the ids 1 and 2), 4 and 11 (of 3 and 0), 5 and 6 are equal.
+    assert sorted(r.n_chars for r in near.collect()) == [0, 1, 2, 5, 7, 8, 9, 10, 11]
+    clean = corpus_pipeline.decontamination_stage(session, docs, folder)
+    assert sorted(r.n_chars for r in clean.collect()) == [0, 1, 2, 3, 5, 6, 8, 9, 10]
+
+
 def test_queries_are_registered():
     assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
