@@ -1,8 +1,8 @@
 """Main text of HTML pages: site templates are found by the element subtrees that recur on a host.
 
 Every page is parsed once to hash its block subtrees; Spark counts, per host, on how many different
-pages each subtree occurs. A page is then parsed again without the subtrees that many pages of
-its host share, without what its markup names as no content, and, if it marks its content by an
+pages each subtree occurs, and how many there are. A page is then parsed again without the subtrees
+that enough pages and a large enough share of the pages of its host hold, without what its markup names as no content, and, if it marks its content by an
 ``article`` or ``main`` element, without the rest. The content's own prose is not judged by
 recurrence: copies of an article or quoted passages are no template.
 """
@@ -22,8 +22,12 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import per_row, plain, stored, text_slices
 
-# On so many different pages of a host a subtree is part of the site's template.
+# On so many different pages of a host, and such a share of them, a subtree is part of the site's template.
 LEAST_PAGES = 5
+LEAST_SHARE = 0.05
+# The same for one element of running prose: a sentence may be said again on pages of its own.
+LEAST_PROSE_PAGES = 20
+LEAST_PROSE_SHARE = 0.5
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -34,6 +38,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 # Their content is text up to their own end tag.
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 CONTENT = frozenset(("article", "main"))
+RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
 PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption hr".split())
 DROPPED = frozenset(
     "aside audio button canvas dialog datalist fieldset footer form head iframe input label menu meter nav noembed noframes noscript object"
@@ -82,14 +87,14 @@ class Page:
     texts: list[str] = field(default_factory=list)
     content: list[bool] = field(default_factory=list)
     dropped: list[bool] = field(default_factory=list)
-    # Hash, first block and end, of subtrees that recurrence may delete.
-    subtrees: list[tuple[int, int, int]] = field(default_factory=list)
+    # Hash, first block, end and whether it is running prose, of subtrees that recurrence may delete.
+    subtrees: list[tuple[int, int, int, bool]] = field(default_factory=list)
     has_content: bool = False
 
     def main_text(self, recurring: frozenset[int] | set[int] = frozenset()) -> str:
         """The blocks that are left, joined by empty lines."""
         keep = [not d and (c or not self.has_content) for d, c in zip(self.dropped, self.content, strict=True)]
-        for h, first, end in self.subtrees:
+        for h, first, end, _ in self.subtrees:
             if h in recurring:
                 keep[first:end] = [False] * (end - first)
         return "\n\n".join(t for t, k in zip(self.texts, keep, strict=True) if k)
@@ -128,7 +133,7 @@ def parse(source: str) -> Page:
         stack[-1].parts.append(f"<{name}>")
         inside = opened["(content)"] > 0 or element.content
         if len(page.texts) > element.first and not (inside and (element.tag in PROSE or element.content)):
-            page.subtrees.append((int(name, 16) - (1 << 63), element.first, len(page.texts)))
+            page.subtrees.append((int(name, 16) - (1 << 63), element.first, len(page.texts), element.tag in RUNNING))
 
     at, end, strict = 0, len(source), True
     while at < end:
@@ -204,8 +209,12 @@ def parse(source: str) -> Page:
     return page
 
 
+# What a row of ``subtrees`` is.
+PAGE, STRUCTURE, RUNS = 0, 1, 2
+
+
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(key, host, body, hash)``: the subtrees of every page, and a hash of all its text."""
+    """``(key, host, body, hash, kind)``: the subtrees of every page, one row for the page itself, and a hash of all its text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in text_slices(frames, "html"):
@@ -213,17 +222,19 @@ def subtrees(pages: DataFrame) -> DataFrame:
             for key, host, source in zip(part["key"], part["host"], part["html"], strict=True):
                 page = parse(source)
                 body = xxhash.xxh3_64_intdigest("\0".join(page.texts).encode("utf-8", "surrogatepass")) - (1 << 63)
-                rows.extend((key, host, body, h) for h in {h for h, _, _ in page.subtrees})
-            yield pd.DataFrame(rows, columns=["key", "host", "body", "hash"])
+                rows.append((key, host, body, 0, PAGE))
+                rows.extend((key, host, body, h, RUNS if running else STRUCTURE) for h, running in {(h, running) for h, _, _, running in page.subtrees})
+            yield pd.DataFrame(rows, columns=["key", "host", "body", "hash", "kind"])
 
-    return pages.mapInPandas(run, "key long, host string, body long, hash long")
+    return pages.mapInPandas(run, "key long, host string, body long, hash long, kind int")
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html", least_pages: int = LEAST_PAGES) -> DataFrame:
     """``key, url, text, n_chars`` of every row: its main text and that text's number of code points.
 
     Null and empty pages have an empty text. A page without a host in its url belongs to the host ''.
-    Pages of one host with the same text count once. Repeated rows each get their row. Other columns
+    Pages of one host with the same text count once. Hosts of fewer than ``least_pages`` such pages show no
+    template. Repeated rows each get their row. Other columns
     don't matter.
     """
     host = F.lower(F.regexp_extract(F.coalesce(plain(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
@@ -232,12 +243,15 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
         plain(source).alias("html"),
     )
     found = stored(subtrees(rows.select("key", "host", "html")), "subtrees")
+    counts = stored(found.select("host", "kind", "hash", "body").distinct().groupBy("host", "kind", "hash").agg(F.count(F.lit(1)).alias("n")), "counts")
+    running = F.col("kind") == RUNS
+    sizes = counts.filter(F.col("kind") == PAGE).select("host", F.col("n").alias("pages"))
     recurring = (
-        found.select("host", "hash", "body").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= least_pages).select("host", "hash")
+        counts.filter((F.col("kind") != PAGE) & (F.col("n") >= F.when(running, max(least_pages, LEAST_PROSE_PAGES)).otherwise(least_pages)))
+        .join(sizes, "host").filter(F.col("n") >= F.col("pages") * F.when(running, LEAST_PROSE_SHARE).otherwise(LEAST_SHARE)).select("host", "hash")
     )
     # At most the subtrees of one page meet in a row.
-    templates = found.join(stored(recurring, "recurring"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("recurring"))
+    templates = found.filter(F.col("kind") != PAGE).join(stored(recurring, "recurring"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("recurring"))
     both = rows.select("key", "page", "url", "html").join(templates.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
 
     def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:

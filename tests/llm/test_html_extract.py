@@ -78,3 +78,13 @@ def test_edge_rows(session):
     found = sorted(((r.page_id or 0, r.url, r.text[:5], r.n_chars) for r in got.collect()), key=str)
     assert found == sorted([(big, None, "", 0), (0, "u", "x", 1), (2, "u", "", 0), (3, "u", "😀é", 2), (3, "u", "😀é", 2), (4, None, "long ", 499_999)], key=str)
     assert html_extract.extract(pages(session, [])).count() == 0
+
+
+def test_templates_are_a_share_of_the_pages(session):
+    rows = [(i, f"https://a.example.com/{i}", site("A", i, "Welcome")) for i in range(6)]
+    for i in range(200):
+        quoted = "<p>Quoted on six pages.</p><div><p>Boxed on six pages.</p></div>" if i < 6 else ""
+        rows.append((100 + i, f"http://hot.example.com/{i}", f"<body><div><ul><li>home</ul></div><p>Story {i}.</p>{quoted}<p>All rights reserved.</p></body>"))
+    got = {r.page_id: r.text for r in html_extract.extract(pages(session, rows)).collect()}
+    assert [got[i] for i in range(6)] == [f"Story {i} of A.\n\nSaid so." for i in range(6)]
+    assert [got[100 + i] for i in range(200)] == [f"Story {i}." + "\n\nQuoted on six pages.\n\nBoxed on six pages." * (i < 6) for i in range(200)]
