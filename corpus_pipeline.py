@@ -11,18 +11,29 @@ from pyspark.sql import functions as F
 from cadenza.llm import bpe, decontaminate, langid, ngram_join, secret_scan
 from cadenza.llm.common import importable, plain, stored, table
 
-# Below this probability a text resembles no language that the documents teach.
-LEAST_LANGUAGE_SCORE = 0.3
+# A text resembles no language that the documents teach if its best probability is not this part of the way from
+# that of a mere guess, which depends on the number of languages, to 1.
+LEAST_LANGUAGE_MARGIN = 0.2
 # Near-duplicates: word 5-grams, Jaccard 0.8 or more.
 NEAR = ngram_join.Similarity(5, 8, 10)
 
 
+def least_language_score(languages: int) -> float:
+    """The probability that the best of so many languages needs."""
+    return 1 / languages + LEAST_LANGUAGE_MARGIN * (1 - 1 / languages)
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the labelled ones teach; those without a letter or a likely language go."""
+    """Documents in a language that the labelled ones teach; those without a letter or a likely language go.
+
+    If no document with a letter is labelled, nothing teaches a language: all with a letter stay.
+    """
     importable(spark)
     net = langid.fit(docs)
+    if net is None:
+        return docs.filter(plain("text").rlike(r"\p{L}"))
     judged = docs.select(F.struct(*[plain(c) for c in docs.columns]).alias("row"), langid.prediction(plain("text"), net).alias("found"))
-    likely = (F.col("found.lang_pred") != langid.UNDETERMINED) & (F.col("found.score") >= LEAST_LANGUAGE_SCORE)
+    likely = (F.col("found.lang_pred") != langid.UNDETERMINED) & (F.col("found.score") >= least_language_score(len(net.languages)))
     return judged.filter(likely).select("row.*")
 
 
