@@ -145,6 +145,8 @@ def decode_block(block: Block, table: Table, first: int = 0, last: int | None =
     return out
 
 
+# Of each text, so many characters help to range-partition; a sample of them reaches the driver.
+RANGE_CHARS = 200
 HEAD = "part int, block int, n long, before long, keys array<long>, lengths array<long>"
 RAW = HEAD + ", ids binary"
 CODED = HEAD + ", lanes int, words binary, positions binary, states binary, checksums binary"
@@ -179,8 +181,9 @@ def tokenised(docs: DataFrame, tokenizer_json: str, end_id: int, key: str = "doc
         if keys:
             yield closed()
 
+    # By key and how the text begins, which agrees with the order by key and text: rows of one key can be dealt to many tasks.
+    rows = docs.select(plain(key).cast("long").alias("key"), plain(text).alias("text")).repartitionByRange("key", F.substring("text", 1, RANGE_CHARS))
     # As text, so that neither nulls nor pandas change a long.
-    rows = docs.select(plain(key).cast("long").alias("key"), plain(text).alias("text")).repartitionByRange("key")
     return rows.sortWithinPartitions("key", "text").select(F.col("key").cast("string").alias("key"), "text").mapInPandas(pack, RAW)
 
 

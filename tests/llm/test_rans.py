@@ -110,3 +110,17 @@ def test_null_keys_and_empty_tables(session, documents, tokenizer_json):
     found = write_and_read(session, documents([(5, "b"), (None, "a"), (None, None)]), tokenizer_json)
     assert sorted((r.start, r.key, r.n_tokens) for r in found.collect()) == [(0, None, 1), (1, None, 2), (3, 5, 2)]
     assert write_and_read(session, documents([]), tokenizer_json).count() == 0
+
+
+def test_rows_of_one_key_are_dealt_to_several_tasks(session, documents, tokenizer_json, monkeypatch):
+    monkeypatch.setattr(rans, "BLOCK_IDS", 200)
+    rows = [(None, f"text {i:04} " + "more " * 30) for i in range(600)] + [(1, "one"), (2, None)]
+    before = session.conf.get("spark.sql.adaptive.enabled")
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        blocks = rans.tokenised(documents(rows), tokenizer_json, 1).select("part", "block", "keys", "lengths").collect()
+    finally:
+        session.conf.set("spark.sql.adaptive.enabled", before)
+    parts = sorted((b.part, b.block, b["keys"]) for b in blocks)
+    assert len({p for p, _, keys in parts if None in keys}) > 1
+    assert [k for *_, keys in parts for k in keys] == [None] * 600 + [1, 2]
