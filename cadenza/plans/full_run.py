@@ -33,13 +33,15 @@ def pre_run(
     skip_words: list[str] = SKIP_WORDS,
     skip_columns: list[str] = SKIP_COLUMNS,
     keep_multiplicity: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Find hidden terms in the indications and add their rows; returns the audit table.
 
-    Row numbers are stored with the rows before they are used.
+    Row numbers are stored with the rows before they are used. ``multi_line=False`` lets Spark split
+    inputs without quoted line breaks.
     """
-    sigs = read_csv(spark, f"{input_dir}/sigs.csv")
-    numbered = read_latin_csv(spark, f"{input_dir}/indications.csv").withColumn(
+    sigs = read_csv(spark, f"{input_dir}/sigs.csv", multi_line=multi_line)
+    numbered = read_latin_csv(spark, f"{input_dir}/indications.csv", multi_line=multi_line).withColumn(
         ROW_ID, F.monotonically_increasing_id()
     )
     rows = stage(numbered, f"{output_dir}/_stages/indications")
@@ -103,16 +105,16 @@ def run_etl(spark: SparkSession, output_dir: str, blacklist_path: str | None = N
 
 
 def complete_references(
-    spark: SparkSession, final: DataFrame, groups_path: str, items_path: str, output_dir: str, seed: int = 0
+    spark: SparkSession, final: DataFrame, groups_path: str, items_path: str, output_dir: str, seed: int = 0, multi_line: bool = True
 ) -> None:
     """Writes ``regimengroups.tsv`` and ``validdrugs.tsv``."""
-    write_tsv(complete_groups(final, read_tsv(spark, groups_path), seed), f"{output_dir}/regimengroups.tsv")
+    write_tsv(complete_groups(final, read_tsv(spark, groups_path, multi_line=multi_line), seed), f"{output_dir}/regimengroups.tsv")
     write_tsv(complete_items(final, read_ragged(spark, items_path)), f"{output_dir}/validdrugs.tsv")
 
 
-def validate(spark: SparkSession, final: DataFrame, merged: DataFrame, old_path: str, output_dir: str) -> DataFrame:
+def validate(spark: SparkSession, final: DataFrame, merged: DataFrame, old_path: str, output_dir: str, multi_line: bool = True) -> DataFrame:
     """Writes the report, returns the summary."""
-    old = read_tsv(spark, old_path)
+    old = read_tsv(spark, old_path, multi_line=multi_line)
     status = stage(match_status(final, old, merged), f"{output_dir}/_stages/match_status")
     write_report(report_lines(final, old, merged, status), f"{output_dir}/validation/shared_output_analysis.txt")
     return match_summary(status)
@@ -127,12 +129,13 @@ def run_all(
     items_path: str,
     old_path: str | None = None,
     check: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
-    """All stages in order; returns the final table."""
-    pre_run(spark, input_dir, output_dir)
+    """All stages in order; returns the final table. ``multi_line=False`` lets Spark split inputs without quoted line breaks."""
+    pre_run(spark, input_dir, output_dir, multi_line=multi_line)
     final = run_etl(spark, output_dir, blacklist_path, check)
-    complete_references(spark, final, groups_path, items_path, output_dir)
+    complete_references(spark, final, groups_path, items_path, output_dir, multi_line=multi_line)
     if old_path:
         merged = spark.read.parquet(f"{output_dir}/_stages/merged")
-        validate(spark, final, merged, old_path, output_dir)
+        validate(spark, final, merged, old_path, output_dir, multi_line)
     return final

@@ -72,12 +72,12 @@ def read_term_lists(spark: SparkSession, path: str) -> DataFrame:
     return obj.select(F.explode(named).alias("l")).select("l.list", F.explode("l.entries").alias("entry"))
 
 
-def load_encoded(spark: SparkSession, path: str, sep: str = ",") -> DataFrame | None:
-    """Delimited file read as UTF-8, or as ISO-8859-1 when it is not valid UTF-8; None if it is missing."""
+def load_encoded(spark: SparkSession, path: str, sep: str = ",", multi_line: bool = True) -> DataFrame | None:
+    """Delimited file read as UTF-8, or as ISO-8859-1 when it is not valid UTF-8; None if it is missing (see ``read_delimited``)."""
     try:
         # Lines are read as they are, so the bytes decide, not characters that decoding has put in.
         broken = spark.read.text(path).filter(~F.is_valid_utf8("value"))
-        return read_delimited(spark, path, sep, encoding="UTF-8" if broken.isEmpty() else "ISO-8859-1")
+        return read_delimited(spark, path, sep, encoding="UTF-8" if broken.isEmpty() else "ISO-8859-1", multi_line=multi_line)
     except AnalysisException:
         return None
 
@@ -88,7 +88,7 @@ def _paths(spark: SparkSession, folder: str, pattern: str) -> list[str]:
     return sorted(r.path for r in files.load(folder).select("path").collect())
 
 
-def load_folder(spark: SparkSession, folder: str, register: bool = False) -> dict[str, DataFrame]:
+def load_folder(spark: SparkSession, folder: str, register: bool = False, multi_line: bool = True) -> dict[str, DataFrame]:
     """All ``.csv`` and ``.tsv`` files below a folder, by file stem; ``.csv`` wins a shared stem.
 
     Each file is read with its own separator. ``register`` also makes temporary views.
@@ -96,7 +96,7 @@ def load_folder(spark: SparkSession, folder: str, register: bool = False) -> dic
     tables = {}
     for pattern, sep in (("*.tsv", "\t"), ("*.csv", ",")):
         for path in _paths(spark, folder, pattern):
-            frame = load_encoded(spark, path, sep)
+            frame = load_encoded(spark, path, sep, multi_line)
             if frame is not None:
                 tables[os.path.splitext(os.path.basename(path))[0]] = frame
     if register:

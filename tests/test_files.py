@@ -175,3 +175,28 @@ def test_full_run(spark, folder):
     assert sorted(drugs.values()) == ["100", "101", "102", "103"]
     report = [r.value for r in spark.read.text(out + "/validation/shared_output_analysis.txt").collect()]
     assert "✅ Correct: 1" in report and "❌ Failed: 1" in report and "=== Regimen: Other ===" in report
+
+
+def test_multi_line_is_passed_through(spark, folder, monkeypatch):
+    path = put(folder, "breaks.csv", 'a,b\n"x\ny",1\n')
+    assert files.load_encoded(spark, path).count() == 1 and files.load_encoded(spark, path, multi_line=False).count() == 2
+    seen = {}
+
+    class Stop(Exception):
+        pass
+
+    def read(spark, path, **options):
+        seen.update(options)
+        raise Stop
+
+    for name in ("read_csv", "read_tsv"):
+        monkeypatch.setattr(full_run, name, read)
+    for call in (
+        lambda: full_run.run_all(spark, "in", "out", "bl", "groups", "items", multi_line=False),
+        lambda: full_run.complete_references(spark, None, "groups", "items", "out", multi_line=False),
+        lambda: full_run.validate(spark, None, None, "old", "out", multi_line=False),
+    ):
+        seen.clear()
+        with pytest.raises(Stop):
+            call()
+        assert seen == {"multi_line": False}
