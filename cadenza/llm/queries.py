@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, html_extract, katz, langid, ngram_join, quality, rans, secret_scan, topk
+from cadenza.llm import bpe, decontaminate, html_extract, katz, langid, ngram_join, quality, rans, secret_scan, topk, whitening
 from cadenza.llm.common import id_remainder, importable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
         rans.write(table(spark, sf_dir, "documents"), path, file.read(), 1)
     return rans.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the whitened leading components of all of them."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
