@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, html_extract, katz, langid, ngram_join, quality, rans, secret_scan, topk, whitening
+from cadenza.llm import bpe, decontaminate, dialogue, html_extract, katz, langid, ngram_join, quality, rans, secret_scan, topk, whitening
 from cadenza.llm.common import id_remainder, importable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,9 @@ def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the whitened leading components of all of them."""
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and a digest of the repaired rows of every damaged conversation."""
+    return dialogue.report(table(spark, sf_dir, "conversations"))
