@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import bpe, decontaminate, dialogue, html_extract, katz, langid, ngram_join, quality, rans, secret_scan, topk, whitening
+from cadenza.llm import bpe, decontaminate, dialogue, html_extract, katz, langid, ngram_join, personal, quality, rans, secret_scan, topk, whitening
 from cadenza.llm.common import id_remainder, importable, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,6 +110,12 @@ def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.read(spark, path).select(F.col("key").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+@query
+def op11_contextual_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: numbers of the base kinds, a digest of their spans, and all spans."""
+    return personal.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding on the whitened leading components of all of them."""
