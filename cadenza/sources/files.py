@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from cadenza.functions.text import strip
 from cadenza.operators.reference import ITEM_COLUMNS
+from cadenza.sources.records import ASCII_LIKE, Layout, read_records, survey, whole_files
+
 
 def read_delimited(
     spark: SparkSession,
@@ -20,16 +23,22 @@ def read_delimited(
     encoding: str = "UTF-8",
     infer: bool = False,
     multi_line: bool = True,
+    layout: Layout | None = None,
 ) -> DataFrame:
     """Delimited file with a header; empty fields are null.
 
     All columns are text without a ``schema`` (preferred) or ``infer``, which reads the data
-    an extra time. Quoted fields may hold line breaks; a file is then read by one task. Of large inputs
-    without any, ``multi_line=False`` lets Spark split each file.
+    an extra time and by one task a file. Quoted fields may hold line breaks: files are read in byte ranges, the lines
+    with quotes twice (``records``). ``multi_line=False`` spares that for inputs known to have no quoted line
+    breaks. Encodings that aren't like ASCII are read by one task a file.
     """
-    reader = spark.read.options(
-        header=True, sep=sep, encoding=encoding, quote='"', escape='"', multiLine=multi_line, enforceSchema=False
-    )
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    if multi_line and (infer or encoding.upper() not in ASCII_LIKE):
+        return whole_files(spark, sep, encoding, schema, infer).csv(path)
+    if multi_line:
+        return read_records(spark, path, sep, schema, encoding, layout)
+    reader = spark.read.options(header=True, sep=sep, encoding=encoding, quote='"', escape='"', enforceSchema=False)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", infer).csv(path)
@@ -76,30 +85,39 @@ def load_encoded(spark: SparkSession, path: str, sep: str = ",", multi_line: boo
     """Delimited file read as UTF-8, or as ISO-8859-1 when it is not valid UTF-8; None if it is missing (see ``read_delimited``)."""
     try:
         # Lines are read as they are, so the bytes decide, not characters that decoding has put in.
-        broken = spark.read.text(path).filter(~F.is_valid_utf8("value"))
-        return read_delimited(spark, path, sep, encoding="UTF-8" if broken.isEmpty() else "ISO-8859-1", multi_line=multi_line)
+        layout = survey(spark, path, sep)
     except AnalysisException:
         return None
+    return read_delimited(spark, path, sep, encoding="ISO-8859-1" if layout.invalid else "UTF-8", multi_line=multi_line, layout=layout)
 
 
-def _paths(spark: SparkSession, folder: str, pattern: str) -> list[str]:
-    """Paths of the files below a folder; only the listing reaches the driver, no content is read."""
+def _paths(spark: SparkSession, folder: str, pattern: str) -> list[tuple[str, int]]:
+    """Paths of the files below a folder and their hashes; only the listing reaches the driver, no content is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
-    return sorted(r.path for r in files.load(folder).select("path").collect())
+    found = files.load(folder).select("_metadata.file_path", F.xxhash64("_metadata.file_path").alias("file"))
+    return sorted((r["file_path"], r["file"]) for r in found.collect())
 
 
 def load_folder(spark: SparkSession, folder: str, register: bool = False, multi_line: bool = True) -> dict[str, DataFrame]:
-    """All ``.csv`` and ``.tsv`` files below a folder, by file stem; ``.csv`` wins a shared stem.
+    """All ``.csv`` and ``.tsv`` files below a folder, by file stem; ``.csv`` wins a shared stem, as does the last path.
 
-    Each file is read with its own separator. ``register`` also makes temporary views.
+    Each file is read with its own separator and, if it is not valid UTF-8, as ISO-8859-1. One job lists the files
+    and one per separator reads what is needed of them for their headers, encodings and ranges, however many there are.
+    ``register`` also makes temporary views.
     """
+    listed = _paths(spark, folder, "*.{csv,tsv}")
     tables = {}
-    for pattern, sep in (("*.tsv", "\t"), ("*.csv", ",")):
-        for path in _paths(spark, folder, pattern):
-            frame = load_encoded(spark, path, sep, multi_line)
-            if frame is not None:
-                tables[os.path.splitext(os.path.basename(path))[0]] = frame
+    for ending, sep in ((".tsv", "\t"), (".csv", ",")):
+        own = [(path, file) for path, file in listed if path.endswith(ending)]
+        layout = survey(spark, folder, sep, recursiveFileLookup=True, pathGlobFilter=f"*{ending}") if own else None
+        for path, file in own:
+            encoding = "ISO-8859-1" if file in layout.invalid else "UTF-8"
+            name = unquote(path)
+            tables[os.path.splitext(os.path.basename(name))[0]] = read_delimited(
+                spark, name, sep, encoding=encoding, multi_line=multi_line, layout=layout.of(file)
+            )
     if register:
         for stem, frame in tables.items():
             frame.createOrReplaceTempView(stem)
     return tables
+
