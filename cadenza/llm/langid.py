@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.llm.common import per_row, plain
+from cadenza.llm.common import SLICE_CHARS, per_row, plain
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -19,7 +21,7 @@ FILTERS = 8
 UNDETERMINED = "und"
 # Windows scored at once; bounds the memory of a task.
 BATCH_WINDOWS = 512
-HAS_LETTER = re.compile(r"[^\W\d_]")
+HAS_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
@@ -147,16 +149,14 @@ def training_windows(labelled: DataFrame, key: str, text: str, lang: str, per_la
     rows = labelled.select(
         plain(key).alias("key"), plain(text).alias("text"), plain(lang).alias("lang")
     ).filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = F.lit(0.0)
-    for name, n in counts.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, per_language / n))).otherwise(share)
     h = F.xxhash64("key", F.lit("sample"))
     place = F.pmod(F.xxhash64("key", F.lit("place")), F.greatest(F.length("text") - WINDOW // 2, F.lit(1)))
+    pieces = rows.select(h.alias("h"), "key", F.substring("text", place.cast("int") + 1, F.lit(WINDOW)).alias("text"), "lang")
+    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.least(F.lit(1.0), per_language / F.col("n"))
     return (
-        rows.filter(F.pmod(h, F.lit(1 << 30)) < share * (1 << 30))
-        .select("key", F.substring("text", place.cast("int") + 1, F.lit(WINDOW)).alias("text"), "lang")
-        .orderBy(h, "key", "text").limit(2 * per_language * max(1, len(counts)))
+        pieces.join(counts, "lang").filter(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+        .orderBy("h", "key", "text").limit(2 * per_language * max(1, counts.count()))
         .select("text", "lang")
     )
 
@@ -194,3 +194,25 @@ def identify(docs: DataFrame, net: ByteConvNet | None, text: str = "text", keep:
     """
     rows = docs.select(F.struct(*[plain(c) for c in keep]).alias("kept"), prediction(plain(text), net).alias("found"))
     return rows.select("kept.*", "found.lang_pred", "found.score")
+
+
+def likely(docs: DataFrame, net: ByteConvNet, least: float, text: str = "text") -> DataFrame:
+    """The rows whose text has a letter and a language of probability ``least`` or more, all columns as they are.
+
+    Rows pass through a worker as a whole and are not held beside it meanwhile.
+    """
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(net)
+        for batch in batches:
+            texts, start = batch.column(at), 0
+            ends = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False))
+            while start < batch.num_rows:
+                done = int(ends[start - 1]) if start else 0
+                stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_CHARS, side="right")))
+                names, score = scorer.predict([t or "" for t in texts.slice(start, stop - start).to_pylist()])
+                yield batch.slice(start, stop - start).filter(pa.array((names != UNDETERMINED) & (score >= least)))
+                start = stop
+
+    return docs.mapInArrow(run, docs.schema)

@@ -67,3 +67,27 @@ def test_empty_table_and_nothing_to_learn(documents):
     assert langid.identify(documents([(1, "abc")]), None).first() == (1, "und", 0.0)
     only = langid.fit(documents([(1, "bra dun", "aa")]))
     assert langid.identify(documents([(1, "abc")]), only).first()[:2] == (1, "aa")
+
+
+def test_number_signs_are_no_letters(documents):
+    net = langid.fit(documents(labelled()), per_language=60)
+    rows = [(1, "½ ² 3"), (2, "①②"), (3, "Ⅷ _"), (4, "½ é"), (5, "中")]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(documents(rows), net).collect()}
+    assert {i for i, lang in got.items() if lang == "und"} == {1, 2, 3}
+
+
+def test_thousands_of_languages(documents):
+    rows = [(i, f"word{i % 2000} text", f"l{i % 2000:04}") for i in range(4000)]
+    sample = langid.training_windows(documents(rows), "doc_id", "text", "lang", 5).collect()
+    assert len({r["lang"] for r in sample}) == 2000 and len(sample) == 4000
+
+
+def test_likely_rows_are_kept_whole(documents):
+    rng = random.Random(9)
+    net = langid.fit(documents(labelled()), per_language=60)
+    rows = [(1, text("aa", rng)), (2, None), (3, "12"), (None, text("bb", rng), "x", "s", 5), (4, text("aa", rng, 60_000)), (1, text("cc", rng))]
+    docs = documents(rows)
+    kept = langid.likely(docs, net, 0.3)
+    assert kept.columns == docs.columns
+    assert sorted(map(repr, kept.collect())) == sorted(repr(r) for r in docs.collect() if r.doc_id not in (2, 3))
+    assert langid.likely(documents([]), net, 0.3).count() == 0

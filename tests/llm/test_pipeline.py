@@ -57,7 +57,7 @@ def shingles(text, n=5):
 
 def kept_by_hand(rows, items):
     """(doc_id, text) after language, near-duplicates and decontamination, then secrets replaced."""
-    rows = sorted({(i, t) for i, t, *_ in rows if t and re.search(r"[^\W\d_]", t)})
+    rows = sorted({(i, t) for i, t, *_ in rows if t and any(map(str.isalpha, t))})
     sets = {i: shingles(t) for i, t in rows}
     component = {i: i for i, _ in rows}
     for a in sets:
