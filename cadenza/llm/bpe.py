@@ -162,6 +162,10 @@ class Encoder:
         self.vocabulary = vocabulary
         self.split = regex.compile(vocabulary.pattern).findall
         self.ranks = {t: i for i, t in vocabulary.tokens.items()}
+        tokens = [vocabulary.tokens.get(i, b"") for i in range(max(vocabulary.tokens) + 1)]
+        self.token_bytes = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+        self.token_ends = np.cumsum([len(t) for t in tokens])
+        self.token_begins = self.token_ends - np.array([len(t) for t in tokens])
         self.known: dict[str, int] = {}
         self.flat = np.zeros(1 << 20, dtype=np.int32)
         self.starts = np.zeros(REMEMBERED + 1, dtype=np.int64)
@@ -173,6 +177,16 @@ class Encoder:
         tokens = self.vocabulary.tokens
         return [[i] if tokens[i] == e else merge_bytes(e, self.ranks) for i, e in zip(found, encoded, strict=True)]
 
+    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
+        """The bytes of each array of ids, gathered from all tokens' bytes at once."""
+        lengths = self.token_ends - self.token_begins
+        every = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int64)
+        sizes = lengths[every]
+        ends = np.cumsum(sizes)
+        data = self.token_bytes[np.repeat(self.token_begins[every] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))].tobytes()
+        edges = np.concatenate([[0], ends])[np.cumsum([0, *map(len, ids)])].tolist()
+        return [data[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         pieces = [self.split(t) for t in texts]
@@ -244,8 +258,19 @@ def round_trip(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep
     """
     # Its size is that of the vocabulary.
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    encoded = docs.select(F.struct(*[plain(c) for c in keep]).alias("kept"), token_ids(plain(text), shared).alias("ids"))
-    return encoded.select("kept.*", "ids", decoded(F.col("ids"), shared).alias("decoded"))
+
+    def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
+        encoder = worker_encoder(shared)
+
+        def work(part: pd.DataFrame) -> pd.DataFrame:
+            ids = encoder.encode(part["text"].tolist())
+            return pd.DataFrame({"ids": ids, "decoded": encoder.decode(ids)})
+
+        return work
+
+    # Both ways in one visit of a worker, so the ids travel once.
+    both = per_row({"text": plain(text)}, setup, "ids array<int>, decoded binary", remembers=True)
+    return docs.select(F.struct(*[plain(c) for c in keep]).alias("kept"), both.alias("both")).select("kept.*", "both.ids", "both.decoded")
 
 
 def digests(rows: DataFrame, *keep: str) -> DataFrame:
