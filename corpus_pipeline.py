@@ -26,9 +26,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     net = langid.fit(docs)
     if net is None:
         return docs.filter(plain("text").rlike(r"\p{L}"))
-    judged = docs.select(F.struct(*[plain(c) for c in docs.columns]).alias("row"), langid.prediction(plain("text"), net).alias("found"))
-    likely = (F.col("found.lang_pred") != langid.UNDETERMINED) & (F.col("found.score") >= LEAST_LANGUAGE_SCORE)
-    return judged.filter(likely).select("row.*")
+    return langid.likely(docs, net, LEAST_LANGUAGE_SCORE)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
