@@ -149,4 +149,4 @@ def test_language_stage_without_labels(session):
 
 
 def test_queries_are_registered():
-    assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0]))] == [f"op{i}" for i in range(1, 14)]
