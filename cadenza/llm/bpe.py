@@ -25,7 +25,7 @@ from cadenza.llm.words import U, mix
 
 STEP = U(0x9E3779B97F4A7C15)
 # Pre-tokens a worker process remembers; later and longer ones are looked up anew, which costs time only.
-REMEMBERED = 150_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 
 
