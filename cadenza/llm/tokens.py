@@ -15,8 +15,8 @@ from tokenizers import Tokenizer
 from cadenza.llm.common import remembered
 
 # Pieces and parts of pieces a worker process remembers; later ones are encoded anew, which costs time only.
-REMEMBERED = 300_000
-PARTS_REMEMBERED = 150_000
+REMEMBERED = 600_000
+PARTS_REMEMBERED = 300_000
 LONGEST_REMEMBERED = 40
 # Characters that Python takes for white space and the library does not.
 NO_SPACE = re.compile("[\x1c-\x1f]")
