@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.functions.text import compare_key, normalise_new_name, normalise_old_name
-from cadenza.lineage import kept as keep
+from cadenza.lineage import durable
 from cadenza.skew import key_join, numbered
 
 # Marks of the match classes in the report.
@@ -15,16 +15,23 @@ TABLE_HEADER = "regimen_cui | component | cyclesigs | HVC (with) | variant | all
 ROW_KEYS = ["regimen_cui", "component", "cyclesigs", "variant", "allDays", "condition"]
 
 
-def name_map(table: DataFrame, normalise, out: str) -> DataFrame:
-    """``(name_key, out)``: normalised name -> original; of several originals the greatest."""
-    names = table.select("regName").filter(F.col("regName").isNotNull()).distinct()
-    return names.groupBy(normalise(F.col("regName")).alias("name_key")).agg(F.max("regName").alias(out))
+# Bits of the tables that have a row.
+NEW, OLD, MERGED = 1, 2, 4
 
 
 def shared_names(new: DataFrame, old: DataFrame) -> DataFrame:
-    """``(name_key, new_name, old_name)`` of the names both tables have."""
-    left = name_map(new, normalise_new_name, "new_name")
-    return left.join(name_map(old, normalise_old_name, "old_name"), "name_key")
+    """``(name_key, new_name, old_name)`` of the names both tables have; of several with one key the greatest."""
+    sides = [table.select(F.col("regName").alias("name"), F.lit(bit).alias("side")) for table, bit in ((new, NEW), (old, OLD))]
+    names = sides[0].unionByName(sides[1]).filter(F.col("name").isNotNull()).groupBy("name").agg(F.bit_or("side").alias("sides"))
+    # A name that both tables have is normalised by the rules of each.
+    forms = F.array(*[
+        F.struct(F.lit(bit).alias("side"), normalise(F.col("name")).alias("name_key"))
+        for bit, normalise in ((NEW, normalise_new_name), (OLD, normalise_old_name))
+    ])
+    tagged = names.select("name", "sides", F.explode(forms).alias("form")).filter(F.col("sides").bitwiseAND(F.col("form.side")) != 0)
+    return tagged.groupBy("form.name_key").agg(
+        *[F.max(F.when(F.col("form.side") == bit, F.col("name"))).alias(out) for bit, out in ((NEW, "new_name"), (OLD, "old_name"))]
+    ).filter("name_key IS NOT NULL AND new_name IS NOT NULL AND old_name IS NOT NULL")
 
 
 def shared_rows(merged: DataFrame, shared: DataFrame) -> DataFrame:
@@ -32,33 +39,41 @@ def shared_rows(merged: DataFrame, shared: DataFrame) -> DataFrame:
     return merged.join(shared.select("new_name"), merged["regimen"] == F.col("new_name"), "left_semi")
 
 
-def _strings(table: DataFrame, shared: DataFrame, name: str) -> DataFrame:
-    """``(regimen, text)``: distinct comparable short strings under the new name."""
-    distinct = table.select(F.col("regName").alias(name), compare_key(F.col("shortString")).alias("text")).distinct()
-    return key_join(distinct, shared.select(name, F.col("new_name").alias("regimen")) if name != "new_name"
-                     else shared.select(name, F.col(name).alias("regimen")), [name]).select("regimen", "text")
+def tagged_strings(new: DataFrame, old: DataFrame, shared: DataFrame, string: Column) -> DataFrame:
+    """``(regimen, text, sides)``: distinct strings of the shared names, under the new name, with the bits of the tables that have them."""
+    sides = [table.select(F.col("regName").alias("name"), string.alias("text"), F.lit(bit).alias("side")) for table, bit in ((new, NEW), (old, OLD))]
+    distinct = sides[0].unionByName(sides[1]).groupBy("name", "text").agg(F.bit_or("side").alias("sides"))
+    own = F.array(*[F.struct(F.col(c).alias("name"), F.lit(bit).alias("side")) for c, bit in (("new_name", NEW), ("old_name", OLD))])
+    names = shared.select(F.col("new_name").alias("regimen"), F.explode(own).alias("own")).select("regimen", "own.name", "own.side")
+    side = F.col("sides").bitwiseAND(F.col("side"))
+    rows = key_join(distinct, names, ["name"], on=side != 0).select("regimen", "text", side.alias("side"))
+    return rows.groupBy("regimen", "text").agg(F.bit_or("side").alias("sides"))
 
 
-def match_status(new: DataFrame, old: DataFrame, merged: DataFrame, shared: DataFrame | None = None) -> DataFrame:
+def short_strings(new: DataFrame, old: DataFrame, shared: DataFrame) -> DataFrame:
+    """``tagged_strings`` of the comparable short strings."""
+    return tagged_strings(new, old, shared, compare_key(F.col("shortString")))
+
+
+def _on(sides: int) -> Column:
+    return F.col("sides").bitwiseAND(F.lit(sides)) == sides
+
+
+def match_status(new: DataFrame, old: DataFrame, merged: DataFrame, strings: DataFrame | None = None) -> DataFrame:
     """``(regimen, status, n_new, n_hit)`` of the shared regimens that have merged rows.
 
-    ``correct``: all new strings are among the old ones, ``partial``: some, ``failed``: none.
-    ``shared`` are the shared names, if they are there already.
+    ``correct``: all new strings are among the old ones, ``partial``: some, ``failed``: none. A null string is
+    among none. ``strings`` are the ``short_strings``, if they are there already.
     """
-    shared = keep(shared_names(new, old)) if shared is None else shared
-    present = shared_rows(merged, shared).select("regimen").distinct()
-    hits = _strings(new, shared, "new_name").join(
-        _strings(old, shared, "old_name").withColumn("hit", F.lit(True)), ["regimen", "text"], "left"
-    )
-    counts = hits.groupBy("regimen").agg(
-        F.every(F.coalesce("hit", F.lit(False))).alias("all_hit"),
-        F.some(F.coalesce("hit", F.lit(False))).alias("any_hit"),
-        F.count(F.lit(1)).alias("n_new"),
-        F.count_if(F.col("hit")).alias("n_hit"),
+    strings = short_strings(new, old, durable(shared_names(new, old))) if strings is None else strings
+    rows = strings.select("regimen", "sides", F.col("text").isNotNull().alias("known"))
+    present = merged.select("regimen", F.lit(MERGED).alias("sides"), F.lit(False).alias("known"))
+    counts = rows.unionByName(present).groupBy("regimen").agg(
+        F.bit_or("sides").alias("sides"), F.count_if(_on(NEW)).alias("n_new"), F.count_if(_on(NEW | OLD) & F.col("known")).alias("n_hit")
     )
-    return present.join(counts, "regimen").select(
+    return counts.filter(_on(NEW | MERGED)).select(
         "regimen",
-        F.when(F.col("all_hit"), "correct").when(F.col("any_hit"), "partial").otherwise("failed").alias("status"),
+        F.when(F.col("n_hit") == F.col("n_new"), "correct").when(F.col("n_hit") > 0, "partial").otherwise("failed").alias("status"),
         "n_new", "n_hit",
     )
 
@@ -72,21 +87,13 @@ def match_summary(status: DataFrame) -> DataFrame:
 
 def exact_counters(new: DataFrame, old: DataFrame) -> DataFrame:
     """One row ``(matched, mismatched)``: shared names with the same single string on both sides."""
-    shared = shared_names(new, old)
-
-    def single(table: DataFrame, prefix: str) -> DataFrame:
-        # Smallest and greatest string are equal when there is one; no set is collected.
-        return table.groupBy(F.col("regName").alias(f"{prefix}_name")).agg(
-            F.min("regString").alias(f"{prefix}_min"), F.max("regString").alias(f"{prefix}_max")
-        )
-
-    both = shared.join(single(new, "new"), "new_name").join(single(old, "old"), "old_name")
-    same = F.coalesce(
-        (F.col("new_min") == F.col("new_max")) & (F.col("old_min") == F.col("old_max"))
-        & (F.col("new_min") == F.col("old_min")),
-        F.lit(False),
+    strings = tagged_strings(new, old, durable(shared_names(new, old)), F.col("regString"))
+    known = F.col("text").isNotNull()
+    per_name = strings.groupBy("regimen").agg(
+        F.count_if(known).alias("n"), F.bit_or(F.when(known, F.col("sides"))).alias("sides")
     )
-    return both.agg(F.count_if(same).alias("matched"), F.count_if(~same).alias("mismatched"))
+    same = F.coalesce((F.col("n") == 1) & _on(NEW | OLD), F.lit(False))
+    return per_name.agg(F.count_if(same).alias("matched"), F.count_if(~same).alias("mismatched"))
 
 
 def _shown(column: str) -> Column:
@@ -97,20 +104,21 @@ def report_lines(new: DataFrame, old: DataFrame, merged: DataFrame, status: Data
     """The report as rows ``(priority, regimen, part, place, variant, step, with_text, line)``.
 
     A block per regimen that is not fully correct. Separators are rows of their own between
-    variants, and listed strings are numbered by bucket, so no block is put together in one task.
+    variants, and listed strings are numbered by their ranges, so no block is put together in one task.
     ``status`` is the result of ``match_status``, if it is there already.
     """
-    shared = keep(shared_names(new, old))
-    status = keep(match_status(new, old, merged, shared)) if status is None else status
+    # Both are read by several branches: written once.
+    strings = durable(short_strings(new, old, durable(shared_names(new, old))))
+    status = durable(match_status(new, old, merged, strings) if status is None else status)
     open_ = status.filter(F.col("status") != "correct").select(
         "regimen", "status", F.when(F.col("status") == "partial", 1).otherwise(2).alias("priority")
     )
     null = F.lit(None).cast("string")
 
-    def rows(df: DataFrame, part: int, line: Column, place: Column | None = None, variant: Column = null,
+    def rows(df: DataFrame, part: int | Column, line: Column, place: Column | None = None, variant: Column = null,
              step: int = 0, with_text: Column = null) -> DataFrame:
         return df.select(
-            "priority", "regimen", F.lit(part).alias("part"),
+            "priority", "regimen", (part if isinstance(part, Column) else F.lit(part)).alias("part"),
             (F.lit(0) if place is None else place).cast("long").alias("place"),
             variant.alias("variant"), F.lit(step).alias("step"), with_text.alias("with_text"), line.alias("line"),
         )
@@ -135,15 +143,18 @@ def report_lines(new: DataFrame, old: DataFrame, merged: DataFrame, status: Data
         "priority", "regimen", "h.part", F.lit(0).cast("long").alias("place"), null.alias("variant"),
         F.lit(0).alias("step"), null.alias("with_text"), "h.line",
     )
-    for part, table, name in ((3, new, "new_name"), (5, old, "old_name")):
-        # Only the strings of open regimens are numbered.
-        listed = key_join(_strings(table, shared, name), open_.select("regimen", "priority"), ["regimen"])
-        listed = numbered(keep(listed), "text", "_no", ["regimen"])
-        place = F.col("_no") - 1
-        out = out.unionByName(rows(listed, part, F.concat_ws(" ", place.cast("string"), "text"), place))
+    # Only the strings of open regimens are numbered, those of each table for themselves.
+    parts = F.filter(
+        F.array(*[F.when(_on(bit), F.lit(part)) for bit, part in ((NEW, 3), (OLD, 5))]), lambda p: p.isNotNull()
+    )
+    listed = key_join(strings.select("regimen", "text", F.explode(parts).alias("part")), open_.select("regimen", "priority"), ["regimen"])
+    place = F.col("_no") - 1
+    out = out.unionByName(rows(
+        numbered(listed, "text", "_no", ["regimen", "part"]), F.col("part"), F.concat_ws(" ", place.cast("string"), "text"), place
+    ))
 
     kept = merged.groupBy("regimen", *ROW_KEYS).agg(F.max("with").alias("with"))
-    kept = keep(key_join(kept, open_.select("regimen", "priority"), ["regimen"]))
+    kept = durable(key_join(kept, open_.select("regimen", "priority"), ["regimen"]))
     cells = [_shown(c) for c in ("regimen_cui", "component", "cyclesigs", "with", "variant", "allDays", "condition")]
     out = out.unionByName(
         rows(kept, 9, F.concat_ws(" | ", *cells), None, F.col("variant"), 1, F.col("with"))

@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cadenza.lineage import durable
+
+
 def same_keys(left: Sequence[Column], right: Sequence[Column], null_safe: bool) -> Column:
     """Equality of two key lists."""
     condition = F.lit(True)
@@ -53,32 +56,42 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(parts, key)
 
 
-# 3 hex digits of an md5: 4,096 buckets, the most rows the window over bucket sizes sees per group.
-BUCKET_DIGITS = 3
+# ``monotonically_increasing_id``: the partition is above these bits, the row within it in them.
+ROW_BITS = 33
+
+
+def positions(df: DataFrame, order: Sequence[Column | str], out: str) -> DataFrame:
+    """The rows with their positions 1, 2, 3, … in the given order.
+
+    Rows are cut into ranges, sorted within them, and stored with their place in the range; a row takes the
+    numbers of rows of all ranges before its own on top. The rows are stored because ranges come from a
+    sample: read again, they would lie elsewhere after the loss of an executor. Rows that are equal in the
+    order are numbered as they come.
+    """
+    at = F.monotonically_increasing_id()
+    placed = durable(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", at))
+    sizes = placed.groupBy(F.shiftright("_at", ROW_BITS).alias("_range")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per range.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    place = F.col("_at").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    return placed.join(F.broadcast(offsets), F.shiftright("_at", ROW_BITS) == F.col("_range")).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_offset") + place + 1).cast("long").alias(out)
+    )
 
 
 def numbered(df: DataFrame, value: str, out: str, within: Sequence[str] = ()) -> DataFrame:
-    """Number distinct non-null values 1, 2, 3, … (per ``within`` group) without one big sorted group.
+    """Number distinct non-null values 1, 2, 3, … in their order, per ``within`` group if given.
 
-    Values are ordered by ``(md5 bucket, value)``. Only the bucket sizes pass through the
-    per-group window; the values themselves are ranked inside their bucket, and md5 keeps
-    the buckets even.
+    No group is sorted as a whole: a value's number is its position among all values less the one
+    that its group begins at.
     """
     within = list(within)
-    bucketed = df.withColumn("_bucket", F.left(F.md5(F.col(value).cast("binary")), F.lit(BUCKET_DIGITS)))
-    sizes = bucketed.groupBy(*within, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(k).alias(f"_o_{k}") for k in within],
-        F.col("_bucket").alias("_o_bucket"),
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-    )
-    ranked = bucketed.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(*within, "_bucket").orderBy(value))
-    )
-    condition = (F.col("_bucket") == F.col("_o_bucket")) & same_keys(
-        [F.col(k) for k in within], [F.col(f"_o_{k}") for k in within], True
-    )
-    return ranked.join(offsets, condition).select(
-        *[F.col(f"`{c}`") for c in df.columns], (F.col("_offset") + F.col("_rank")).cast("long").alias(out)
+    if not within:
+        return positions(df, [value], out)
+    placed = positions(df, [*within, value], "_position")
+    begins = placed.groupBy(*[F.col(k).alias(f"_o_{k}") for k in within]).agg(F.min("_position").alias("_begin"))
+    condition = same_keys([F.col(k) for k in within], [F.col(f"_o_{k}") for k in within], True)
+    return placed.join(begins, condition).select(
+        *[F.col(f"`{c}`") for c in df.columns], (F.col("_position") - F.col("_begin") + 1).alias(out)
     )

@@ -58,9 +58,27 @@ def test_key_join_refuses_other_types(spark):
 
 
 def test_numbering(spark):
-    names = [("a", f"n{i}") for i in range(300)] + [("b", "x"), (None, "y")]
+    names = [("a", f"n{i}") for i in range(300)] + [("b", "x"), (None, "y"), (None, "z")]
     frame = spark.createDataFrame(names, "g string, v string")
-    rows = skew.numbered(frame, "v", "i", ["g"]).collect()
-    assert sorted(r.i for r in rows if r.g == "a") == list(range(1, 301))
-    assert {(r.g, r.i) for r in rows if r.g != "a"} == {("b", 1), (None, 1)}
-    assert sorted(r.i for r in skew.numbered(frame, "v", "i").collect()) == list(range(1, 303))
+    within = {(r.g, r.v): r.i for r in skew.numbered(frame, "v", "i", ["g"]).collect()}
+    assert within == {(g, v): 1 + sum(h == g and w < v for h, w in names) for g, v in names}
+    assert {r.v: r.i for r in skew.numbered(frame, "v", "i").collect()} == {v: i + 1 for i, v in enumerate(sorted(v for _, v in names))}
+    assert skew.numbered(frame.limit(0), "v", "i", ["g"]).count() == 0
+
+
+def test_numbering_over_many_ranges(spark):
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        # A third of the rows shares a value; the second column orders them.
+        frame = spark.range(6000).select(F.when(F.col("id") % 3 == 0, 1000).otherwise(F.col("id")).alias("v"), F.col("id").alias("w"))
+        placed = skew.positions(frame, [F.desc("v"), "w"], "i")
+        ranges = placed.inputFiles()
+        rows = sorted(placed.collect(), key=lambda r: r.i)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert len(ranges) >= 8
+    assert [r.i for r in rows] == list(range(1, 6001))
+    assert [(r.v, r.w) for r in rows] == sorted(((r.v, r.w) for r in rows), key=lambda r: (-r[0], r[1]))

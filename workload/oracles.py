@@ -209,6 +209,7 @@ SKIP = ", ".join(f"'{w}'" for w in SKIP_WORDS)
 VOCABULARY = f"vocabulary as (select distinct unnest({units_sql('text')}) as t from benchmark)"
 KNOWN_WORDS = f"known_words as (select distinct unnest({words_sql('lower(text)')}) as t from benchmark)"
 DOC_WORDS = f"doc_words as (select distinct unnest({words_sql('lower(text)')}) as t from documents)"
+TALK_WORDS = f"talk_words as (select distinct unnest({words_sql('lower(text)')}) as t from conversations)"
 DOC_UNITS = f"doc_units as (select distinct unnest({units_sql('text')}) as unit from documents)"
 WORD_PAIRS = f"{KNOWN_WORDS}, {DOC_WORDS}, {pairs_sql('doc_words', 'known_words')}"
 
@@ -310,8 +311,10 @@ def title_sql(x: str) -> str:
     )
 
 
-def bucket_order(x: str) -> str:
-    return f"left(md5({x}), 3), {x}"
+def row_sum_sql(*columns: str) -> str:
+    """Counterpart of ``queries.row_sum``."""
+    shown = " || '|' || ".join(f"coalesce({c}, '<null>')" for c in columns)
+    return f"sum(('0x' || left(md5({shown}), 15))::bigint)::varchar"
 
 
 def initcap_sql(x: str) -> str:
@@ -425,10 +428,10 @@ report as (
     from blocks)
   union all
   select priority, regimen, 3, no, null, 0, null, no || ' ' || t
-    from (select *, row_number() over (partition by regimen order by left(md5(t), 3), t) - 1 as no from new_texts) join blocks using (regimen)
+    from (select *, row_number() over (partition by regimen order by t) - 1 as no from new_texts) join blocks using (regimen)
   union all
   select priority, regimen, 5, no, null, 0, null, no || ' ' || t
-    from (select *, row_number() over (partition by regimen order by left(md5(t), 3), t) - 1 as no from old_texts) join blocks using (regimen)
+    from (select *, row_number() over (partition by regimen order by t) - 1 as no from old_texts) join blocks using (regimen)
   union all
   select priority, regimen, 9, 0, variant, 1, w, concat_ws(' | ', regimen_cui, component, cyclesigs, coalesce(w, 'nan'), variant, allDays,
     coalesce(condition, 'nan')) from kept
@@ -452,8 +455,18 @@ ORACLES = {
     "rtrim(shortString, ';') as naiveString from out_t",
     "condition_imputation": f"with {SCHED},{IMPUTED} select regimen_cui, variant, condition, component, allDays, context from imputed",
     "expanded_groups": f"with {SCHED},{EXPANDED} select * from expanded",
-    "schedule_cross": f"with {CROSS} select * replace (md5(regString) as regString) from crossed",
-    "full_sorted": f"with {FULL} select * replace (md5(regString) as regString, md5(shortString) as shortString) from full_table",
+    "schedule_cross": f"""with {CROSS} select regimen_cui, variant, condition, count(*) as n_rows,
+        {row_sum_sql('regimen_cui', 'variant', 'component', 'allDays', 'cyclesigs', 'condition', 'context', 'study', 'regimen', 'metaCondition', 'regString')} as row_sum
+        from crossed group by all""",
+    "full_sorted": f"""with {FULL},
+      blocks as (
+        select shortString, condition, context, count(*) as n_rows,
+          {row_sum_sql('metaCondition', 'condition', 'context', 'regName', 'variant', 'regCode', 'component', 'regString', 'shortString')} as row_sum
+        from full_table group by all
+      )
+      select md5(shortString) as short_key, condition, context, n_rows, row_sum,
+        (sum(n_rows) over (order by shortString asc nulls last, condition desc nulls last, context desc nulls last) - n_rows + 1)::bigint as first_row
+      from blocks""",
     "first_per_key": f"""with {FULL} select * from full_table qualify row_number() over (
         partition by shortString order by condition asc nulls last, context desc nulls last,
         metaCondition desc nulls last, regName desc nulls last, variant desc nulls last, regCode desc nulls last,
@@ -509,9 +522,9 @@ ORACLES |= {
         coalesce(nullif(o_orderpriority, '4-NOT SPECIFIED'), 'nan') as condition, o_orderstatus as context, p_type as "with",
         'all' as metaCondition, count(*) as n from lines group by all""",
     "fuzzy_tfidf": f"with {WORD_PAIRS} select q as word, d as component, round(sim, 6) as similarity from pairs",
-    "fuzzy_tfidf_scores": f"""with {WORD_PAIRS},
+    "fuzzy_tfidf_scores": f"""with {KNOWN_WORDS}, {TALK_WORDS}, {pairs_sql('talk_words', 'known_words')},
         scored as (select q, round(avg(sim), 2) as score from pairs group by q)
-        select t as word, coalesce(score, 0.0) as score from doc_words left join scored on t = q""",
+        select t as word, coalesce(score, 0.0) as score from talk_words left join scored on t = q""",
     "word_fallback": f"""with {VOCABULARY}, {DOC_UNITS}, {fallback_sql('doc_units', 'vocabulary')}
         select md5(unit) as unit_key, word, score from fallback""",
     "contains_fanout": f"""with {VOCABULARY}, vals as (select doc_id, {strip_sql('lower(text)')} as value from documents)
@@ -550,7 +563,7 @@ ORACLES |= {
         from norms n left join dots using (col) where n.col <> 'c_name'""",
     "ref_groups_completed": f"""with names as (select concat(p_type, ' and ', p_brand) as nm, * from part),
         ref as (select nm as Var1, min(p_type) as regGroup from names group by nm having min(p_size) > 1),
-        labels as (select regGroup, row_number() over (order by {bucket_order('regGroup')}) as no, count(*) over () as n
+        labels as (select regGroup, row_number() over (order by regGroup) as no, count(*) over () as n
           from (select distinct regGroup from ref))
         select * from ref union all
         select nm, regGroup from (select distinct nm from names where nm not in (select Var1 from ref)) x
@@ -564,7 +577,7 @@ ORACLES |= {
         comps as (select distinct lower(concat(p_name, ' ', replace(p_brand, 'Brand#', 'no-'))) as c from part),
         known as (select * from ref where lower(name) in (select c from comps)),
         ids as (select coalesce(max(try_cast(concept_id as bigint)), 0) as a, coalesce(max(try_cast(valid_concept_id as bigint)), 0) as b from known),
-        added as (select c, row_number() over (order by {bucket_order('c')}) as no from comps where c not in (select lower(name) from ref))
+        added as (select c, row_number() over (order by c) as no from comps where c not in (select lower(name) from ref))
         select * from ref union all
         select {title_sql('c')}, (a + no)::varchar, (a + no)::varchar, {title_sql('c')}, (b + no)::varchar, 'Drug', 'Ingredient', 'Yes'
         from added, ids""",

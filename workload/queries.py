@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.functions import text as T
 from cadenza.functions.schedule import cycle_parts, day_list, short_string
 from cadenza.lineage import durable
 from cadenza.operators import cleaning, edit, fuzzy, matching, merge, reference, schedule, shape, validate
+from cadenza.skew import positions
 from workload import tables
 
 
@@ -38,10 +39,18 @@ def expanded_groups(spark: SparkSession, folder: str) -> DataFrame:
     return schedule.expand_groups(tables.sched(spark, folder))
 
 
+def row_sum(*columns: str) -> Column:
+    """A sum over the digests of whole rows, whatever their order: equal for the same rows with the same multiplicities."""
+    shown = F.concat_ws("|", *[F.coalesce(F.col(c), F.lit("<null>")) for c in columns])
+    digest = F.conv(F.left(F.md5(shown.cast("binary")), F.lit(15)), 16, 10).cast("decimal(20,0)")
+    return F.sum(digest).cast("string")
+
+
 def schedule_cross(spark: SparkSession, folder: str) -> DataFrame:
-    """The strings as digests; ``schedule_strings`` compares them as they are."""
+    """All rows of a group as their number and the sum of their digests."""
     rows = schedule.process_schedules(tables.sched(spark, folder))
-    return rows.withColumn("regString", F.md5(F.col("regString").cast("binary")))
+    key = ["regimen_cui", "variant", "condition"]
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows"), row_sum(*rows.columns).alias("row_sum"))
 
 
 def final_table(rows: DataFrame) -> DataFrame:
@@ -49,9 +58,13 @@ def final_table(rows: DataFrame) -> DataFrame:
 
 
 def full_sorted(spark: SparkSession, folder: str) -> DataFrame:
-    """The strings as digests; ``first_per_key`` and ``short_strings`` compare them as they are."""
-    rows = shape.sort_output(final_table(tables.sched(spark, folder)))
-    return rows.withColumns({c: F.md5(F.col(c).cast("binary")) for c in ("regString", "shortString")})
+    """The rows that are equal in what the table is sorted by, as the row they begin at, their number and the sum of their digests."""
+    rows = final_table(tables.sched(spark, folder))
+    placed = positions(rows, shape.output_order(), "_row")
+    blocks = placed.groupBy("shortString", "condition", "context").agg(
+        F.min("_row").alias("first_row"), F.count(F.lit(1)).alias("n_rows"), row_sum(*rows.columns).alias("row_sum")
+    )
+    return blocks.select(F.md5(F.col("shortString").cast("binary")).alias("short_key"), "condition", "context", "n_rows", "row_sum", "first_row")
 
 
 def first_per_key(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,18 +147,18 @@ def filled_columns(spark: SparkSession, folder: str) -> DataFrame:
     return filled.groupBy(*filled.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def word_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return fuzzy.fuzzy_pairs(
-        tables.document_words(spark, folder), "word", tables.known_words(spark, folder), "component", 0.8
-    )
+def word_pairs(spark: SparkSession, folder: str, words: DataFrame) -> DataFrame:
+    return fuzzy.fuzzy_pairs(words, "word", tables.known_words(spark, folder), "component", 0.8)
 
 
 def fuzzy_tfidf(spark: SparkSession, folder: str) -> DataFrame:
-    return word_pairs(spark, folder).select("word", "component", F.round("similarity", 6).alias("similarity"))
+    pairs = word_pairs(spark, folder, tables.document_words(spark, folder))
+    return pairs.select("word", "component", F.round("similarity", 6).alias("similarity"))
 
 
 def fuzzy_tfidf_scores(spark: SparkSession, folder: str) -> DataFrame:
-    return fuzzy.score_queries(tables.document_words(spark, folder), "word", word_pairs(spark, folder))
+    words = tables.conversation_words(spark, folder)
+    return fuzzy.score_queries(words, "word", word_pairs(spark, folder, words))
 
 
 def word_fallback(spark: SparkSession, folder: str) -> DataFrame:

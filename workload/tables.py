@@ -124,6 +124,12 @@ def document_words(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select(F.explode(split_words(F.lower("text"))).alias("word")).distinct()
 
 
+def conversation_words(spark: SparkSession, folder: str) -> DataFrame:
+    from cadenza.functions.text import split_words
+
+    return table(spark, folder, "conversations").select(F.explode(split_words(F.lower("text"))).alias("word")).distinct()
+
+
 def document_units(spark: SparkSession, folder: str) -> DataFrame:
     from cadenza.functions.text import split_units
 
