@@ -148,7 +148,7 @@ def decode_block(block: Block, table: Table, first: int = 0, last: int | None =
 # Of each text, so many characters help to range-partition; a sample of them reaches the driver.
 RANGE_CHARS = 200
 HEAD = "part int, block int, n long, before long, keys array<long>, lengths array<long>"
-RAW = HEAD + ", ids binary"
+RAW = HEAD + ", ids binary, counts binary"
 CODED = HEAD + ", lanes int, words binary, positions binary, states binary, checksums binary"
 HEAD_COLUMNS = ["part", "block", "n", "before", "keys", "lengths"]
 
@@ -167,8 +167,10 @@ def tokenised(docs: DataFrame, tokenizer_json: str, end_id: int, key: str = "doc
         squeeze = zstandard.ZstdCompressor(level=1).compress
 
         def closed() -> pd.DataFrame:
-            data = squeeze(np.concatenate(ids).astype("<u4").tobytes())
-            return pd.DataFrame([(part, block, size, before, keys, [len(i) for i in ids], data)], columns=[*HEAD_COLUMNS, "ids"])
+            every = np.concatenate(ids).astype("<u4")
+            # A block may hold one document of any length, so its counts are longs; nearly all their bytes are zero.
+            counts = squeeze(np.bincount(every).astype("<i8").tobytes())
+            return pd.DataFrame([(part, block, size, before, keys, [len(i) for i in ids], squeeze(every.tobytes()), counts)], columns=[*HEAD_COLUMNS, "ids", "counts"])
 
         for piece in text_slices(frames):
             for k, own in zip(piece["key"].tolist(), encoder.encode(piece["text"].tolist()), strict=True):
@@ -192,19 +194,19 @@ def _ids(data: bytes) -> np.ndarray:
 
 
 def symbol_counts(raw: DataFrame) -> np.ndarray:
-    """How often every symbol occurs in all blocks; as many numbers as the vocabulary has."""
+    """How often every symbol occurs in all blocks, from the counts of each; as many numbers as the vocabulary has."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, dtype=np.int64)
         for frame in frames:
-            for data in frame["ids"]:
-                own = np.bincount(_ids(data))
-                total, own = (total, own) if len(total) >= len(own) else (own.astype(np.int64), total)
+            for data in frame["counts"]:
+                own = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype="<i8").copy()
+                total, own = (total, own) if len(total) >= len(own) else (own, total)
                 total[: len(own)] += own
         present = np.flatnonzero(total)
         yield pd.DataFrame({"symbol": present, "n": total[present]})
 
-    rows = raw.select("ids").mapInPandas(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
+    rows = raw.select("counts").mapInPandas(count, "symbol long, n long").groupBy("symbol").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(int(rows["symbol"].max()) + 1 if len(rows) else 0, dtype=np.int64)
     out[rows["symbol"].to_numpy(dtype=np.int64)] = rows["n"].to_numpy(dtype=np.int64)
     return out
@@ -233,7 +235,7 @@ def write(docs: DataFrame, path: str, tokenizer_json: str, end_id: int, key: str
                     b.positions.astype("<i8").tobytes(), b.states.astype("<u8").tobytes(), b.checksums.astype("<i8").tobytes(),
                 )], columns=[*HEAD_COLUMNS, "lanes", "words", "positions", "states", "checksums"])
 
-    raw.mapInPandas(code, CODED).write.parquet(f"{path}/blocks")
+    raw.drop("counts").mapInPandas(code, CODED).write.parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -24,7 +25,8 @@ SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 # In a piece of these characters the tokenizer's pattern sees runs of letters, single digits and runs of others:
 # ASCII without apostrophe and <, and Latin letters, each of which is one letter in lower case, too.
 SIMPLE = re.compile(r"[!-&(-;=-~À-ÖØ-öø-įı-ž]+")
-PARTS = re.compile(r"[a-zß-öø-ž]+|[0-9]|[^a-zß-öø-ž0-9]+")
+# The line feed ends a piece.
+PARTS = re.compile(r"[a-zß-öø-ž]+|[0-9]|\n|[^a-zß-öø-ž0-9\n]+")
 LETTERS = re.compile(r"[a-z]+")
 # Words that tell whether the library's model alone gives what the whole tokenizer gives for words of a-z.
 PROBES = ("a", "the", "reading", "zqxjkv", "internationalisation", "mnbvcxzlkjhgfdsapoiuytrewq")
@@ -42,15 +44,58 @@ class Numbers(dict):
         return number
 
 
+class Remembered:
+    """Texts, numbered as they come, with their ids; all ids are in one array."""
+
+    def __init__(self) -> None:
+        self.numbers = Numbers()
+        self.flat = np.zeros(0, dtype=np.uint32)
+        self.starts = np.zeros(1, dtype=np.int64)
+
+    def numbered(self, texts: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.numbers.__getitem__, texts), dtype=np.int64, count=len(texts))
+
+    def taken(self) -> list[str]:
+        """The texts numbered since the last call: the next to ``add``."""
+        new, self.numbers.new = self.numbers.new, []
+        return new
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        self.flat = np.concatenate([self.flat, flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+
+    def ids(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts of these numbers, one after the other, and where each text's end."""
+        return gathered(self.flat, self.starts[index], self.starts[index + 1] - self.starts[index])
+
+    def forget(self, new: list[str], limit: int, longest: int) -> None:
+        """Keep those of the last texts that come first, so that numbers stay without gaps."""
+        known = len(self.numbers) - len(new)
+        kept = 0
+        while kept < len(new) and known + kept < limit and len(new[kept]) <= longest:
+            kept += 1
+        for text in new[kept:]:
+            del self.numbers[text]
+        self.starts = self.starts[: known + kept + 1]
+        self.flat = self.flat[: self.starts[-1]]
+
+
+def gathered(flat: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pieces of an array, one after the other, and where each ends."""
+    ends = np.cumsum(sizes)
+    return flat[np.repeat(begins - ends + sizes, sizes) + np.arange(int(sizes.sum()))], ends
+
+
 class PieceEncoder:
     """Encodes texts piece by piece."""
 
     def __init__(self, tokenizer_json: str) -> None:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.numbers = Numbers()
-        self.parts: dict[str, list[int]] = {}
-        self.flat = np.zeros(0, dtype=np.uint32)
-        self.starts = np.zeros(1, dtype=np.int64)
+        self.pieces = Remembered()
+        self.parts = Remembered()
+        # The end of a piece has number 0 and no ids.
+        self.parts.numbered(["\n"])
+        self.parts.add(np.zeros(0, np.uint32), np.zeros(len(self.parts.taken()), np.int64))
         self.model = self.tokenizer.model
         self.plain = all(self._by_model(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in PROBES)
 
@@ -60,49 +105,40 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens at its ends."""
-        number = self.numbers.__getitem__
-        indexes = []
-        for text in texts:
-            pieces = self._pieces(text)
-            indexes.append(np.fromiter(map(number, pieces), dtype=np.int64, count=len(pieces)))
-        new, self.numbers.new = self.numbers.new, []
-        known = len(self.numbers) - len(new)
-        ids = self._ids(new)
-        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.concatenate([self.flat, np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(lengths.sum()))])
-        starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        index = np.concatenate([np.zeros(0, np.int64), *indexes])
-        begins = starts[index]
-        ends = np.cumsum(starts[index + 1] - begins)
-        sizes = np.diff(ends, prepend=0)
-        every = flat[np.repeat(begins - ends + sizes, sizes) + np.arange(int(sizes.sum()))]
+        indexes = [self.pieces.numbered(self._pieces(t)) for t in texts]
+        new = self.pieces.taken()
+        self.pieces.add(*self._ids(new))
+        every, ends = self.pieces.ids(np.concatenate([np.zeros(0, np.int64), *indexes]))
         last = np.cumsum([len(i) for i in indexes])
         out = np.split(every, np.concatenate([[0], ends])[last[:-1]]) if indexes else []
-        # What comes first is remembered; numbers stay without gaps.
-        kept = 0
-        while kept < len(new) and known + kept < REMEMBERED and len(new[kept]) <= LONGEST_REMEMBERED:
-            kept += 1
-        for piece in new[kept:]:
-            del self.numbers[piece]
-        self.starts = starts[: known + kept + 1]
-        self.flat = flat[: self.starts[-1]]
+        self.pieces.forget(new, REMEMBERED, LONGEST_REMEMBERED)
         return out
 
-    def _ids(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces, put together from their parts where the pattern cuts them anyway."""
-        cut = [PARTS.findall(p.lower()) if SIMPLE.fullmatch(p) else [p] for p in pieces]
-        parts = self.parts
-        unknown = list({x for c in cut for x in c if x not in parts})
-        words = [x for x in unknown if self.plain and LETTERS.fullmatch(x)]
-        parts.update(zip(words, map(self._by_model, words), strict=True))
-        others = [x for x in unknown if x not in parts]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(others, add_special_tokens=False)]
-        parts.update(zip(others, found, strict=True))
-        out = [parts[c[0]] if len(c) == 1 else [i for x in c for i in parts[x]] for c in cut]
-        if len(parts) > PARTS_REMEMBERED:
-            for x in unknown:
-                del parts[x]
-        return out
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of pieces and how many each has; pieces are put together from parts where the pattern cuts them anyway."""
+        simple = np.fromiter((m is not None for m in map(SIMPLE.fullmatch, pieces)), dtype=bool, count=len(pieces))
+        cut = "\n".join([p for p, s in zip(pieces, simple.tolist(), strict=True) if s]).lower()
+        index = self.parts.numbered(PARTS.findall(f"{cut}\n") if simple.any() else [])
+        whole = self.parts.numbered([p for p, s in zip(pieces, simple.tolist(), strict=True) if not s])
+        new = self.parts.taken()
+        self.parts.add(*self._part_ids(new))
+        every, ends = self.parts.ids(np.concatenate([index, whole]))
+        ends = np.concatenate([ends[: len(index)][index == 0], ends[len(index) :]])
+        sizes = np.diff(ends, prepend=0)
+        self.parts.forget(new, PARTS_REMEMBERED, LONGEST_REMEMBERED)
+        # In the order of the pieces.
+        place = np.empty(len(pieces), dtype=np.int64)
+        place[np.concatenate([np.flatnonzero(simple), np.flatnonzero(~simple)])] = np.arange(len(pieces))
+        return gathered(every, (ends - sizes)[place], sizes[place])[0], sizes[place]
+
+    def _part_ids(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of parts and how many each has."""
+        by_model = [self.plain and LETTERS.fullmatch(x) is not None for x in parts]
+        others = [x for x, word in zip(parts, by_model, strict=True) if not word]
+        found = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        ids = [self._by_model(x) if word else next(found).ids for x, word in zip(parts, by_model, strict=True)]
+        lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(lengths.sum())), lengths
 
     def _pieces(self, text: str) -> list[str]:
         if text.isascii() and "<|" not in text:

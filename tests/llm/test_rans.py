@@ -73,6 +73,7 @@ def test_code_is_near_the_entropy():
 
 def test_pieces_encode_like_the_library(tokenizer_json, monkeypatch):
     monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    monkeypatch.setattr(tokens, "PARTS_REMEMBERED", 50)
     library = Tokenizer.from_str(tokenizer_json)
     encoder = tokens.PieceEncoder(tokenizer_json)
     rng = random.Random(4)
@@ -82,7 +83,7 @@ def test_pieces_encode_like_the_library(tokenizer_json, monkeypatch):
     for at in range(0, len(texts), 60):
         part = texts[at : at + 60]
         assert [x.tolist() for x in encoder.encode(part)] == [library.encode(t, add_special_tokens=False).ids for t in part]
-    assert len(encoder.numbers) <= 100
+    assert len(encoder.pieces.numbers) <= 100 and len(encoder.parts.numbers) <= 50
 
 
 def write_and_read(session, docs, tokenizer_json):
