@@ -2,9 +2,11 @@
 
 Every page is parsed once to hash its block subtrees; Spark counts, per host, on how many different
 pages each subtree occurs, and how many there are. A page is then parsed again without the subtrees
-that enough pages and a large enough share of the pages of its host hold, without what its markup names as no content, and, if it marks its content by an
-``article`` or ``main`` element, without the rest. The content's own prose is not judged by
-recurrence: copies of an article or quoted passages are no template.
+that enough pages and a large enough share of the pages of its host hold (``LEAST``), without what its
+markup names as no content, and, if it marks its content by an ``article`` or ``main`` element, without
+the rest. A list, table or box that is mostly links is a menu when a few pages share it, wherever it is;
+other boxes and prose (list items and cells, too) when half of the host's pages do. The content's own
+prose is not judged by recurrence: copies of an article or quoted passages are no template.
 """
 
 from __future__ import annotations
@@ -22,12 +24,12 @@ from pyspark.sql import functions as F
 
 from cadenza.llm.common import per_row, plain, stored, text_slices
 
+# What a row of ``subtrees`` is: a page, or a subtree of one of three kinds.
+PAGE, MENU, BOX, PROSE = 0, 1, 2, 3
 # On so many different pages of a host, and such a share of them, a subtree is part of the site's template.
-LEAST_PAGES = 5
-LEAST_SHARE = 0.05
-# The same for one element of running prose: a sentence may be said again on pages of its own.
-LEAST_PROSE_PAGES = 20
-LEAST_PROSE_SHARE = 0.5
+LEAST = {MENU: (5, 0.05), BOX: (5, 0.5), PROSE: (20, 0.5)}
+# A subtree with such a share of its characters in links is mostly links.
+LINK_SHARE = 0.5
 
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
@@ -39,7 +41,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 CONTENT = frozenset(("article", "main"))
 RUNNING = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote".split())
-PROSE = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol li dl dt dd table thead tbody tfoot tr td th caption figure figcaption hr".split())
+ITEMS = frozenset("li dt dd thead tbody tfoot tr td th caption figure figcaption hr".split())
+LISTS = frozenset("ul ol dl table".split())
 DROPPED = frozenset(
     "aside audio button canvas dialog datalist fieldset footer form head iframe input label menu meter nav noembed noframes noscript object"
     " optgroup option output progress script search select style svg math template textarea title video xmp".split()
@@ -77,6 +80,8 @@ class Element:
     content: bool
     inline: bool
     first: int
+    # Characters of the page before it, and those in links.
+    before: tuple[int, int] = (0, 0)
     parts: list[str] = field(default_factory=list)
 
 
@@ -87,8 +92,8 @@ class Page:
     texts: list[str] = field(default_factory=list)
     content: list[bool] = field(default_factory=list)
     dropped: list[bool] = field(default_factory=list)
-    # Hash, first block, end and whether it is running prose, of subtrees that recurrence may delete.
-    subtrees: list[tuple[int, int, int, bool]] = field(default_factory=list)
+    # Hash, first block, end and kind of the subtrees that recurrence may delete.
+    subtrees: list[tuple[int, int, int, int]] = field(default_factory=list)
     has_content: bool = False
 
     def main_text(self, recurring: frozenset[int] | set[int] = frozenset()) -> str:
@@ -107,6 +112,15 @@ def parse(source: str) -> Page:
     # How many elements of each tag are open, and of each kind.
     opened: Counter[str] = Counter()
     buffer: list[str] = []
+    # Characters so far and those in links; how many elements are open where the open link began, 0 without one.
+    chars = linked = link = 0
+
+    def add(text: str) -> None:
+        nonlocal chars, linked
+        buffer.append(text)
+        n = len(text.strip())
+        chars += n
+        linked += n if link else 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(buffer)).split()) if buffer else ""
@@ -121,7 +135,21 @@ def parse(source: str) -> Page:
     def kinds(element: Element) -> list[str]:
         return [element.tag, *["(content)"] * element.content, *["(dropped)"] * element.dropped]
 
+    def kind(element: Element) -> int | None:
+        """Of a closed element; None if recurrence can't delete it."""
+        inside = opened["(content)"] > 0 or element.content
+        prose = element.tag in RUNNING or element.tag in ITEMS
+        n, links = chars - element.before[0], linked - element.before[1]
+        if len(page.texts) == element.first or element.content:
+            return None
+        if not prose and links >= LINK_SHARE * n and links:
+            return MENU
+        if prose or element.tag in LISTS:
+            return None if inside else PROSE
+        return BOX
+
     def close() -> None:
+        nonlocal link
         element = stack[-1]
         if not element.inline:
             flush()
@@ -129,11 +157,12 @@ def parse(source: str) -> Page:
         opened.subtract(kinds(element))
         if element.inline:
             return
+        if len(stack) < link:
+            link = 0
         name = xxhash.xxh3_64_hexdigest("\0".join([element.tag, *element.parts]).encode("utf-8", "surrogatepass"))
         stack[-1].parts.append(f"<{name}>")
-        inside = opened["(content)"] > 0 or element.content
-        if len(page.texts) > element.first and not (inside and (element.tag in PROSE or element.content)):
-            page.subtrees.append((int(name, 16) - (1 << 63), element.first, len(page.texts), element.tag in RUNNING))
+        if (found := kind(element)) is not None:
+            page.subtrees.append((int(name, 16) - (1 << 63), element.first, len(page.texts), found))
 
     at, end, strict = 0, len(source), True
     while at < end:
@@ -141,7 +170,7 @@ def parse(source: str) -> Page:
         if open_at < 0:
             open_at = end
         if open_at > at and not stack[-1].inline:
-            buffer.append(source[at:open_at])
+            add(source[at:open_at])
         if open_at == end:
             break
         found = TAG.match(source, open_at) if strict else None
@@ -154,12 +183,15 @@ def parse(source: str) -> Page:
                 if re.match(r"</?[a-zA-Z]", source[open_at : open_at + 3]):
                     break  # The page ends within a tag.
                 if not stack[-1].inline:
-                    buffer.append("<")
+                    add("<")
                 at = open_at + 1
                 continue
             strict = False
         at = found.end()
         tag, attributes = found[2].lower(), found[3]
+        if tag == "a":
+            link = 0 if found[1] else len(stack)
+            continue
         if found[1]:
             if tag == "br":
                 buffer.append(" ")
@@ -201,7 +233,7 @@ def parse(source: str) -> Page:
         top = tag in ("html", "body")
         dropped = not top and not content and (tag in DROPPED or bool(names & NO_CONTENT) or bool(attributes and HIDDEN.search(attributes)))
         page.has_content |= content and not opened["(dropped)"]
-        stack.append(Element(tag, dropped, content, inline, len(page.texts)))
+        stack.append(Element(tag, dropped, content, inline, len(page.texts), (chars, linked)))
         opened.update(kinds(stack[-1]))
     while len(stack) > 1:
         close()
@@ -209,50 +241,48 @@ def parse(source: str) -> Page:
     return page
 
 
-# What a row of ``subtrees`` is.
-PAGE, STRUCTURE, RUNS = 0, 1, 2
-
-
 def subtrees(pages: DataFrame) -> DataFrame:
-    """``(key, host, body, hash, kind)``: the subtrees of every page, one row for the page itself, and a hash of all its text."""
+    """``(key, other, host, body, hash, kind)``: the subtrees of every page, one row for the page itself, and a hash of all its text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in text_slices(frames, "html"):
             rows = []
-            for key, host, source in zip(part["key"], part["host"], part["html"], strict=True):
+            for key, other, host, source in zip(part["key"], part["other"], part["host"], part["html"], strict=True):
                 page = parse(source)
                 body = xxhash.xxh3_64_intdigest("\0".join(page.texts).encode("utf-8", "surrogatepass")) - (1 << 63)
-                rows.append((key, host, body, 0, PAGE))
-                rows.extend((key, host, body, h, RUNS if running else STRUCTURE) for h, running in {(h, running) for h, _, _, running in page.subtrees})
-            yield pd.DataFrame(rows, columns=["key", "host", "body", "hash", "kind"])
+                rows.append((key, other, host, body, 0, PAGE))
+                rows.extend((key, other, host, body, h, kind) for h, kind in {(h, kind) for h, _, _, kind in page.subtrees})
+            yield pd.DataFrame(rows, columns=["key", "other", "host", "body", "hash", "kind"])
 
-    return pages.mapInPandas(run, "key long, host string, body long, hash long, kind int")
+    return pages.mapInPandas(run, "key long, other long, host string, body long, hash long, kind int")
 
 
-def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html", least_pages: int = LEAST_PAGES) -> DataFrame:
+def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: str = "html") -> DataFrame:
     """``key, url, text, n_chars`` of every row: its main text and that text's number of code points.
 
     Null and empty pages have an empty text. A page without a host in its url belongs to the host ''.
-    Pages of one host with the same text count once. Hosts of fewer than ``least_pages`` such pages show no
-    template. Repeated rows each get their row. Other columns
-    don't matter.
+    Pages of one host with the same text count once; hosts of fewer such pages than ``LEAST`` asks for show no
+    template. Repeated rows each get their row. Pages are told apart by 128 bits. Other columns don't matter.
     """
     host = F.lower(F.regexp_extract(F.coalesce(plain(url), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
+    own = [plain(key), plain(url), plain(source)]
     rows = pages.select(
-        F.xxhash64(plain(key), plain(url), plain(source)).alias("key"), host.alias("host"), plain(key).alias("page"), plain(url).alias("url"),
-        plain(source).alias("html"),
+        F.xxhash64(*own).alias("key"), F.xxhash64(F.lit("other"), *own).alias("other"), host.alias("host"), plain(key).alias("page"),
+        plain(url).alias("url"), plain(source).alias("html"),
     )
-    found = stored(subtrees(rows.select("key", "host", "html")), "subtrees")
+    found = stored(subtrees(rows.select("key", "other", "host", "html")), "subtrees")
     counts = stored(found.select("host", "kind", "hash", "body").distinct().groupBy("host", "kind", "hash").agg(F.count(F.lit(1)).alias("n")), "counts")
-    running = F.col("kind") == RUNS
     sizes = counts.filter(F.col("kind") == PAGE).select("host", F.col("n").alias("pages"))
-    recurring = (
-        counts.filter((F.col("kind") != PAGE) & (F.col("n") >= F.when(running, max(least_pages, LEAST_PROSE_PAGES)).otherwise(least_pages)))
-        .join(sizes, "host").filter(F.col("n") >= F.col("pages") * F.when(running, LEAST_PROSE_SHARE).otherwise(LEAST_SHARE)).select("host", "hash")
-    )
+    often = F.lit(False)
+    for kind, (least, share) in LEAST.items():
+        often = often | (F.col("kind") == kind) & (F.col("n") >= least) & (F.col("n") >= F.col("pages") * share)
+    recurring = counts.filter((F.col("kind") != PAGE) & (F.col("n") >= min(n for n, _ in LEAST.values()))).join(sizes, "host").filter(often)
     # At most the subtrees of one page meet in a row.
-    templates = found.filter(F.col("kind") != PAGE).join(stored(recurring, "recurring"), ["host", "hash"]).groupBy("key").agg(F.collect_set("hash").alias("recurring"))
-    both = rows.select("key", "page", "url", "html").join(templates.withColumnRenamed("key", "of"), F.col("key") == F.col("of"), "left")
+    templates = (
+        found.filter(F.col("kind") != PAGE).join(stored(recurring.select("host", "kind", "hash"), "recurring"), ["host", "kind", "hash"])
+        .groupBy(F.col("key").alias("of"), F.col("other").alias("of_other")).agg(F.collect_set("hash").alias("recurring"))
+    )
+    both = rows.drop("host").join(templates, (F.col("key") == F.col("of")) & (F.col("other") == F.col("of_other")), "left")
 
     def setup() -> Callable[[pd.DataFrame], pd.DataFrame]:
         return lambda part: pd.DataFrame({"text": [
