@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import per_row, plain, text_slices
@@ -156,8 +156,8 @@ def fit(
 ) -> FactorisationMachine | None:
     """Model learned from labelled documents; None if there are none.
 
-    Bounded sample: of each label 0 and 1 the ``per_class`` rows of smallest key hash. Other labels and
-    null don't count; a key labelled twice counts twice.
+    Bounded sample: of each label 0 and 1 the ``per_class`` rows of smallest key hash, however many rows have
+    one key. Other labels and null don't count; a key labelled twice counts twice.
     """
     known = labels.select(plain(key).alias("labelled"), plain(label).cast("int").alias("label")).filter("labelled IS NOT NULL")
     order = (F.xxhash64("labelled", F.lit("sample")), F.col("labelled"))
@@ -171,12 +171,16 @@ def fit(
             f = features(part["text"].tolist(), part["n_chars"].to_numpy(dtype=np.float64))
             cut = list(zip(f.starts[:-1].tolist(), f.starts[1:].tolist(), strict=True))
             yield pd.DataFrame({
-                "label": part["label"].to_numpy(), "index": [f.index[a:b].astype("<i4").tobytes() for a, b in cut],
+                "label": part["label"].to_numpy(), "place": part["place"].to_numpy(), "index": [f.index[a:b].astype("<i4").tobytes() for a, b in cut],
                 "value": [f.value[a:b].astype("<f8").tobytes() for a, b in cut],
             })
 
+    made = rows.select("label", order[0].alias("place"), "text", "n_chars").mapInPandas(run, "label int, place long, index binary, value binary")
+    # Spark keeps no more of a label in any task than it takes in the end.
+    within = Window.partitionBy("label").orderBy("place", F.xxhash64("index"), F.xxhash64("value"))
+    taken = made.withColumn("number", F.row_number().over(within)).filter(F.col("number") <= per_class).select("label", "index", "value")
     # In an order that does not depend on the tasks.
-    found = sorted(tuple(r) for r in rows.select("label", "text", "n_chars").mapInPandas(run, "label int, index binary, value binary").collect())
+    found = sorted(tuple(r) for r in taken.collect())
     if not found:
         return None
     starts = np.concatenate([[0], np.cumsum([len(index) // 4 for _, index, _ in found])])

@@ -38,6 +38,18 @@ def test_learns_labels(documents, session):
     assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
 
 
+def test_the_sample_is_bounded_by_rows(documents, session, monkeypatch):
+    rows, labels = examples(100)
+    sizes = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda f, y: sizes.append(np.bincount(y).tolist()) or train(f, y))
+    # One labelled id in very many rows.
+    hot = labels[0][0]
+    docs = documents([*rows, *[(hot, f"good{i} good{i % 7}") for i in range(3000)]])
+    assert quality.fit(docs, labels_frame(session, labels), per_class=40) is not None
+    assert sizes == [[min(40, sum(y == k for _, y, _ in labels)) if labels[0][1] != k else 40 for k in (0, 1)]]
+
+
 def test_edge_rows(documents, session):
     rows, labels = examples(100)
     model = quality.fit(documents(rows), labels_frame(session, labels))
