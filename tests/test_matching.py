@@ -77,3 +77,17 @@ def test_extract_and_explode(spark):
     assert {(r.id, r.study) for r in exploded.filter("component = 'paclitaxel'").collect()} == {(1, "s1"), (4, "s4")}
     assert matching.explode_matches(frame, "id", matches, keep_multiplicity=True).count() == 7
     assert [tuple(r) for r in matching.match_counts(matches).collect()] == [("note", 2, 1, 2)]
+
+
+def test_values_that_hold_a_unit_are_split_once(spark):
+    values = ["ab cd ef", "xab cdx", "ab", "zab cd efz", "cd", "ab  cd", "", None, "ef ab"]
+    units = ["ab", "ab cd", "b cd e", "cd ef", "ef", "zz", "d"]
+    frame = matching.containing_values(
+        spark.createDataFrame([(u,) for u in [*units, "ab"]], "unit string"),
+        spark.createDataFrame(list(enumerate(values)), "value_key int, value string"),
+    )
+    got = sorted((r.unit, r.value_key) for r in frame.collect())
+    assert got == sorted((u, i) for u in units for i, v in enumerate(values) if v and u in v)
+    # The candidates are a stored table: what is left looks up texts, no words.
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
