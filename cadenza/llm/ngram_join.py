@@ -7,8 +7,10 @@ be there). Shingles that are frequent come last in the order, so tiles stay smal
 
 ``links`` joins every tile with itself and finds all links. ``join`` looks for components alone: of a
 tile's documents each is first compared with the one of smallest id only; most groups of copies
-are connected by that. Afterwards only tiles that still hold several components are joined with
-themselves, across components. In both a pair goes through two steps: a hashed bitmap (each bit the parity
+are connected by that. In crowded tiles rounds follow in which each document meets a few others of its tile,
+the same for all. Afterwards only tiles that still hold several components are joined with
+themselves, across components; a pair is left to an earlier tile that both were seen in shortly before.
+In both a pair goes through two steps: a hashed bitmap (each bit the parity
 of the shingles that fall on it) bounds the overlap from above, since every differing bit needs a
 shingle of one side only; what passes is decided by the exact intersection of the sorted sets.
 """
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import may_be_among, per_row, plain, stored, text_slices
@@ -35,6 +37,13 @@ BRIEF_LONGS = 8
 PIECE = 1 << 21
 PIECE_COUNT = 2
 FREQUENT = 1 << 20
+# Tiles of more sets than this are crowded: in each of at most so many rounds a set there is compared with so many
+# others at most. That changes the work only: what the rounds leave apart is joined across components.
+CROWD = 16
+ROUNDS = 3
+MET = 8
+# So many tiles of a set before each of its tiles tell whether a pair was met there.
+EARLIER = 4
 
 
 @dataclass(frozen=True)
@@ -190,6 +199,29 @@ def verified(pairs: DataFrame, members: DataFrame, docs: DataFrame, rule: Simila
     return texts.mapInPandas(check, f"a {kind}, b {kind}")
 
 
+def salts(round_: int) -> list[int]:
+    """Numbers, others in every round, that reorder ids by exclusive or."""
+    return mix(np.arange(round_ * MET + 1, (round_ + 1) * MET + 1, dtype=np.uint64)).view(np.int64).tolist()
+
+
+def crowded_pairs(crowd: DataFrame, sized: DataFrame, rule: Similarity, round_: int) -> DataFrame:
+    """Pairs ``(a, b)`` of sets that may be similar, each of a crowded tile with the ``MET`` that come first there in orders of this round.
+
+    Of the sets of one other component that a set meets, only the one whose brief bitmap differs least is taken.
+    """
+    rows = crowd.join(sized.select("rep", "component"), "rep")
+    firsts = [F.min(F.col("rep").bitwiseXOR(F.lit(salt))).bitwiseXOR(F.lit(salt)) for salt in salts(round_)]
+    met = rows.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.array_distinct(F.array(*firsts)).alias("met")).filter("lo != hi")
+    pairs = rows.select("tile", "rep").join(met.select("tile", "met"), "tile").select("rep", F.explode("met").alias("rep_b")).filter("rep != rep_b").distinct()
+    other = sized.withColumnsRenamed({"rep": "rep_b", "component": "component_b", "n": "n_b", "brief": "brief_b"})
+    differing = differing_brief_bits(F.col("brief"), F.col("brief_b"))
+    near = pairs.join(sized, "rep").join(other, "rep_b").filter(F.col("component") != F.col("component_b")).select(
+        "rep", "rep_b", "component_b", "n", "n_b", differing.alias("differing")
+    ).filter(rule.possible(F.col("n"), F.col("n_b"), F.col("differing")))
+    nearest = near.groupBy("rep", "component_b").agg(F.min(F.struct("differing", "rep_b")).alias("nearest"))
+    return nearest.select(F.least("rep", "nearest.rep_b").alias("a"), F.greatest("rep", "nearest.rep_b").alias("b")).distinct()
+
+
 def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, n_shingles, component_id`` of every row: set size and the smallest id reachable by links.
 
@@ -212,7 +244,7 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     )
     tiles = sets.select("id", F.explode("tiles").alias("tile"))
     shared = tiles.groupBy("tile").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("many")).filter("many > 1")
-    tiled = stored(tiles.join(shared.select("tile", "least"), "tile"), "tiles")
+    tiled = stored(tiles.join(shared, "tile"), "tiles")
     reps = members.select("id", "rep").distinct()
 
     def between_reps(pairs: DataFrame) -> DataFrame:
@@ -230,6 +262,19 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     stars = stored(between_reps(nearest), "stars")
     links = stored(verified(stars, members, own, rule).unionByName(same), "links")
     found = components(links)
+    # Groups of near copies grow together before any tile is joined with itself.
+    crowd = tiled.filter(F.col("many") > CROWD).select("tile", "id").join(reps, "id").select("tile", "rep").distinct()
+    crowd = stored(crowd, "crowd")
+    briefs = members.filter("id = rep").select("rep", "n", "brief").distinct()
+    tested = stars
+    for round_ in range(ROUNDS if not crowd.isEmpty() else 0):
+        sized = briefs.join(found.withColumnsRenamed({"id": "rep"}), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        pairs = stored(crowded_pairs(crowd, sized, rule, round_).join(tested, ["a", "b"], "left_anti"), "met")
+        linked = stored(verified(pairs, members, own, rule), "links")
+        if linked.isEmpty():
+            break
+        tested, links = tested.unionByName(pairs), stored(links.unionByName(linked), "links")
+        found = components(links)
     # What is left: tiles with documents of different components.
     placed = stored(
         members.select("id", "rep", "n", "brief").join(found.withColumnsRenamed({"id": "rep"}), "rep", "left")
@@ -238,14 +283,22 @@ def join(docs: DataFrame, rule: Similarity, key: str = "doc_id", text: str = "te
     spread = stored(tiled.select("tile", "id").join(placed.select("id", "rep", "component"), "id").select("tile", "rep", "component").distinct(), "spread")
     mixed = spread.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi").select("tile")
     sized = placed.filter("id = rep").select("rep", "n", "brief")
-    left = stored(spread.join(mixed, "tile").join(sized, "rep").select("tile", "rep", "component", "n", "brief"), "left")
-    right = left.withColumnsRenamed({"tile": "tile_b", "rep": "rep_b", "component": "component_b", "n": "n_b", "brief": "brief_b"})
+    # A pair that also meets in one of the last tiles of both, in one order for all, was found there.
+    by_tile = Window.partitionBy("rep").orderBy("tile")
+    earlier = F.array_compact(F.array(*[F.lag("tile", k).over(by_tile) for k in range(1, EARLIER + 1)]))
+    left = stored(
+        spread.join(mixed, "tile").withColumn("earlier", earlier).join(sized, "rep").select("tile", "rep", "component", "n", "brief", "earlier"), "left"
+    )
+    right = left.withColumnsRenamed(
+        {"tile": "tile_b", "rep": "rep_b", "component": "component_b", "n": "n_b", "brief": "brief_b", "earlier": "earlier_b"}
+    )
     across = left.join(
         right,
         (F.col("tile") == F.col("tile_b")) & (F.col("component") < F.col("component_b"))
-        & rule.possible(F.col("n"), F.col("n_b"), differing_brief_bits(F.col("brief"), F.col("brief_b"))),
+        & rule.possible(F.col("n"), F.col("n_b"), differing_brief_bits(F.col("brief"), F.col("brief_b")))
+        & ~F.arrays_overlap("earlier", "earlier_b"),
     ).select(F.least("rep", "rep_b").alias("a"), F.greatest("rep", "rep_b").alias("b")).distinct()
-    untested = across.join(stars, ["a", "b"], "left_anti")
+    untested = across.join(tested, ["a", "b"], "left_anti")
     more = stored(verified(untested, members, own, rule), "links")
     final = found if more.isEmpty() else components(links.unionByName(more))
     labels = members.select("id", "rep").groupBy("id").agg(F.min("rep").alias("rep")).join(

@@ -161,3 +161,32 @@ def test_all_links_are_found(documents):
     assert pairs.count() == sum(s != t for s, t in similar) // 2
     names = {r.set for r in found if r.set}
     assert len(names) == len({s for _, s in sets}) and {x for r in pairs.collect() for x in r} <= names
+
+
+def test_pairs_of_a_large_group_of_near_copies_grow_with_the_group(documents, monkeypatch):
+    rule = Similarity(2, 3, 4)
+    rng = random.Random(6)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = rng.choices(vocabulary, k=100)
+    rows = []
+    for i in range(160):
+        copy = list(base)
+        for at in rng.sample(range(100), rng.choice((2, 4, 8, 14))):
+            copy[at] = rng.choice(vocabulary)
+        rows.append((i * 7 % 1009, " ".join(copy)))
+    tested = []
+
+    def counted(df, name, *partition_by):
+        out = stored(df, name, *partition_by)
+        if name == "sides":
+            tested.append(out.count() // 2)
+        return out
+
+    stored = ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", counted)
+    found = ngram_join.join(documents(rows), rule)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_force(rows, rule)
+    # Each document meets a bounded number of others; all similar pairs are thousands.
+    sets = [shingles(t, rule.n) for _, t in rows]
+    similar = sum(rule.similar(len(s & t), len(s), len(t)) for i, s in enumerate(sets) for t in sets[:i])
+    assert sum(tested) < 10 * len(rows) < similar, (tested, similar)
