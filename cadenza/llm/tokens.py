@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import hashlib
 import re
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from cadenza.llm.common import remembered
@@ -19,9 +21,6 @@ from cadenza.llm.common import remembered
 REMEMBERED = 600_000
 PARTS_REMEMBERED = 300_000
 LONGEST_REMEMBERED = 40
-# Characters that Python takes for white space and the library does not.
-NO_SPACE = re.compile("[\x1c-\x1f]")
-SPACE = re.compile(r"[ \t\n\r\x0b\x0c]+")
 # In a piece of these characters the tokenizer's pattern sees runs of letters, single digits and runs of others:
 # ASCII without apostrophe and <, and Latin letters, each of which is one letter in lower case, too.
 SIMPLE = re.compile(r"[!-&(-;=-~À-ÖØ-öø-įı-ž]+")
@@ -55,6 +54,11 @@ class Remembered:
     def numbered(self, texts: list[str]) -> np.ndarray:
         return np.fromiter(map(self.numbers.__getitem__, texts), dtype=np.int64, count=len(texts))
 
+    def numbered_array(self, texts: pa.Array) -> np.ndarray:
+        """Like ``numbered``; each text is looked up once, however often the array holds it."""
+        coded = texts.dictionary_encode()
+        return self.numbered(coded.dictionary.to_numpy(zero_copy_only=False).tolist())[coded.indices.to_numpy()]
+
     def taken(self) -> list[str]:
         """The texts numbered since the last call: the next to ``add``."""
         new, self.numbers.new = self.numbers.new, []
@@ -93,9 +97,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.pieces = Remembered()
         self.parts = Remembered()
-        # The end of a piece has number 0 and no ids.
-        self.parts.numbered(["\n"])
-        self.parts.add(np.zeros(0, np.uint32), np.zeros(len(self.parts.taken()), np.int64))
+        # What stands before, after and between pieces has number 0 and no ids.
+        for known, nothing in ((self.pieces, ""), (self.parts, "\n")):
+            known.numbered([nothing])
+            known.add(np.zeros(0, np.uint32), np.zeros(len(known.taken()), np.int64))
         self.model = self.tokenizer.model
         self.plain = all(self._by_model(p) == self.tokenizer.encode(p, add_special_tokens=False).ids for p in PROBES)
 
@@ -105,21 +110,26 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens at its ends."""
-        indexes = [self.pieces.numbered(self._pieces(t)) for t in texts]
+        if not texts:
+            return []
+        # White space outside ASCII stays inside of pieces; the library drops it there.
+        split = pc.ascii_split_whitespace(pa.array([self._lowered(t) for t in texts], pa.large_string()))
+        index = self.pieces.numbered_array(split.flatten())
         new = self.pieces.taken()
         self.pieces.add(*self._ids(new))
-        every, ends = self.pieces.ids(np.concatenate([np.zeros(0, np.int64), *indexes]))
-        last = np.cumsum([len(i) for i in indexes])
-        out = np.split(every, np.concatenate([[0], ends])[last[:-1]]) if indexes else []
+        every, ends = self.pieces.ids(index)
+        last = split.offsets.to_numpy()[1:]
+        out = np.split(every, np.concatenate([[0], ends])[last[:-1]])
         self.pieces.forget(new, REMEMBERED, LONGEST_REMEMBERED)
         return out
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of pieces and how many each has; pieces are put together from parts where the pattern cuts them anyway."""
-        simple = np.fromiter((m is not None for m in map(SIMPLE.fullmatch, pieces)), dtype=bool, count=len(pieces))
-        cut = "\n".join([p for p, s in zip(pieces, simple.tolist(), strict=True) if s]).lower()
-        index = self.parts.numbered(PARTS.findall(f"{cut}\n") if simple.any() else [])
-        whole = self.parts.numbered([p for p, s in zip(pieces, simple.tolist(), strict=True) if not s])
+        matched = [m is not None for m in map(SIMPLE.fullmatch, pieces)]
+        simple = np.array(matched, dtype=bool)
+        cut = "\n".join(compress(pieces, matched)).lower()
+        index = self.parts.numbered_array(pa.array(PARTS.findall(f"{cut}\n") if simple.any() else [], pa.large_string()))
+        whole = self.parts.numbered(list(compress(pieces, ~simple)))
         new = self.parts.taken()
         self.parts.add(*self._part_ids(new))
         every, ends = self.parts.ids(np.concatenate([index, whole]))
@@ -140,11 +150,9 @@ class PieceEncoder:
         lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         return np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=int(lengths.sum())), lengths
 
-    def _pieces(self, text: str) -> list[str]:
-        if text.isascii() and "<|" not in text:
-            # The tokenizer lower-cases; special tokens are found before that.
-            text = text.lower()
-        return [p for p in SPACE.split(text) if p] if NO_SPACE.search(text) else text.split()
+    def _lowered(self, text: str) -> str:
+        # The tokenizer lower-cases; special tokens are found before that.
+        return text.lower() if text.isascii() and "<|" not in text else text
 
 
 def worker_encoder(tokenizer_json: str) -> PieceEncoder:

@@ -86,6 +86,17 @@ def test_pieces_encode_like_the_library(tokenizer_json, monkeypatch):
     assert len(encoder.pieces.numbers) <= 100 and len(encoder.parts.numbers) <= 50
 
 
+def test_a_piece_is_looked_up_once_a_call(tokenizer_json, monkeypatch):
+    encoder = tokens.PieceEncoder(tokenizer_json)
+    looked = []
+    numbered = tokens.Remembered.numbered
+    monkeypatch.setattr(tokens.Remembered, "numbered", lambda self, texts: looked.append(len(texts)) or numbered(self, texts))
+    texts = ["the cat 12 12 sat\n" * 50, "a cat sat"] * 20
+    assert [x.tolist() for x in encoder.encode(texts)] == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(looked) < 30
+    assert encoder.encode([]) == []
+
+
 def write_and_read(session, docs, tokenizer_json):
     path = f"{session.sparkContext.getCheckpointDir()}/tokens-{uuid.uuid4().hex}"
     rans.write(docs, path, tokenizer_json, 1)
