@@ -91,3 +91,15 @@ def test_values_that_hold_a_unit_are_split_once(spark):
     # The candidates are a stored table: what is left looks up texts, no words.
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_words_of_units_are_no_copies_of_the_unit(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(matching, "durable", lambda df: stored.append(df) or df.localCheckpoint())
+    words = ["xylophon", "and", "paclitaxel", "with", "cisplatin", "paclitaxel", "zz"]
+    units = spark.createDataFrame([(" ".join(words * 20),), ("zz with xylophon",), ("or cisplatin",), ("",), (None,)], "unit string")
+    corpus = spark.createDataFrame([("paclitaxel",), ("cisplatin",)], "component string")
+    got = matching.word_matches(units, corpus, "component", 0.8).collect()
+    assert {tuple(r) for r in got} == {(" ".join(words * 20), "paclitaxel", 1.0), ("or cisplatin", "cisplatin", 1.0)}
+    # A stored table names a unit once.
+    assert all(df.count() <= 4 for df in stored if "unit" in df.columns)
