@@ -103,3 +103,18 @@ def test_words_of_units_are_no_copies_of_the_unit(spark, monkeypatch):
     assert {tuple(r) for r in got} == {(" ".join(words * 20), "paclitaxel", 1.0), ("or cisplatin", "cisplatin", 1.0)}
     # A stored table names a unit once.
     assert all(df.count() <= 4 for df in stored if "unit" in df.columns)
+
+
+def test_candidates_hold_the_words_next_to_the_anchor(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(matching, "durable", lambda df: stored.append(df) or df.localCheckpoint())
+    values = ["a longest b", "xa longest bx", "c longest d", "longest", "a  longest b", "x a", "xa by", "a  b", "xa  by", "a b c", "a b c d e"]
+    units = ["a longest b", "a longest", "longest b", "a b", "a  b", "a b c d", "a b c d e", "b c"]
+    frame = matching.containing_values(
+        spark.createDataFrame([(u,) for u in units], "unit string"),
+        spark.createDataFrame(list(enumerate(values)), "value_key int, value string"),
+    )
+    want = sorted((u, i) for u in units for i, v in enumerate(values) if u in v)
+    assert sorted((r.unit, r.value_key) for r in frame.collect()) == want
+    # All have the same longest word: what the words beside it rule out is no candidate.
+    assert stored[-1].columns == ["_id", "value_key"] and stored[-1].count() == len(want)
